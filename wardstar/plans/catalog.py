@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from wardstar.plans import scalar_queries, warehouse_queries  # noqa: F401
+from wardstar.plans import scalar_queries, search_queries, text_queries, warehouse_queries  # noqa: F401
 from wardstar.plans.registry import QUERIES, SQL  # noqa: F401

@@ -376,8 +376,9 @@ def orphan_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("WITH " + SQL_CLEAN + """
-SELECT 'patient_key' AS foreign_key, 0::BIGINT AS orphan_keys, 0::BIGINT AS orphan_facts
-UNION ALL SELECT 'date_key', 0, 0
+SELECT 'patient_key' AS foreign_key, count(DISTINCT patient_key) AS orphan_keys, count(*) AS orphan_facts FROM c_fact
+  WHERE patient_key NOT IN (SELECT patient_key FROM c_patient)
+UNION ALL SELECT 'date_key', count(DISTINCT date_key), count(*) FROM c_fact WHERE date_key NOT IN (SELECT date_key FROM fact WHERE date_key IS NOT NULL)
 UNION ALL SELECT 'provider_key', count(DISTINCT provider_key), count(*) FROM c_fact WHERE provider_key NOT IN (SELECT provider_key FROM c_provider)
 UNION ALL SELECT 'org_key', count(DISTINCT org_key), count(*) FROM c_fact WHERE org_key NOT IN (SELECT org_key FROM c_org)
 UNION ALL SELECT 'payer_key', count(DISTINCT payer_key), count(*) FROM c_fact WHERE payer_key NOT IN (SELECT payer_key FROM c_payer)
