@@ -11,6 +11,7 @@ from wardstar import schemas
 from wardstar.functions.scalars import bucket, is_blank, pick, safe_double
 from wardstar.functions.text import normalise, row_context
 from wardstar.operators.keys import with_dense_key
+from wardstar.session import stage
 from wardstar.sources.tables import parse_records
 
 # Slice of the rows, first output number, defaults for missing demographics.
@@ -85,10 +86,8 @@ def _events(text: Column, pattern: str, category: str, date: Column) -> Column:
     return F.transform(found, event)
 
 
-def rule_record(text: Column, as_of: str) -> Column:
-    """Record found in a text by rules: age, gender, vitals and medications that it states."""
-    clean = normalise(text)
-    date = F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), TEXT_DATE, 1), F.lit(""))
+def rule_record(clean: Column, date: Column, as_of: str) -> Column:
+    """Record found by rules in normalised text: age, gender, vitals and medications that it states."""
     age = F.regexp_extract(clean, AGE, 1).try_cast("int")
     birth_year = F.year(F.lit(as_of).cast("date")) - age
     birthdate = F.concat(birth_year.cast("string"), F.lit("-01-01"))
@@ -144,7 +143,12 @@ def responses(
     calling a model. The default applies rules inside the JVM.
     """
     if extract_fn is None:
-        return df.withColumn("response", F.to_json(rule_record(F.col(text), as_of)))
+        date = F.regexp_extract(F.coalesce(F.col(text), F.lit("")), TEXT_DATE, 1)
+        prepared = df.withColumns(
+            {"_clean": normalise(F.col(text)), "_date": F.nullif(date, F.lit(""))}
+        )
+        record = rule_record(F.col("_clean"), F.col("_date"), as_of)
+        return prepared.withColumn("response", F.to_json(record)).drop("_clean", "_date")
     return df.withColumn("response", F.pandas_udf(_guarded(extract_fn), T.StringType())(F.col(text)))
 
 
@@ -189,8 +193,12 @@ def impute_record(rec: str, key: str) -> Column:
 
 
 def split_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose response is a record, and the rejects."""
-    parsed = parse_records(df, "response", schemas.RECORD)
+    """Rows whose response is a record, and the rejects.
+
+    The responses are written first: both results read them, and no text is sent
+    to the extraction function twice.
+    """
+    parsed = parse_records(stage(df, "responses"), "response", schemas.RECORD)
     return parsed.filter("not is_bad").drop("is_bad"), parsed.filter("is_bad").drop("is_bad", "rec")
 
 

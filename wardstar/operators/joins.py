@@ -72,13 +72,11 @@ def lookup_join(
         _SALT,
         F.when(any_null, F.pmod(row_hash, F.lit(NULL_SALTS)))
         .when(F.col(_HOT), F.pmod(row_hash, F.lit(SALTS)))
-        .otherwise(F.lit(0)),
+        .otherwise(F.lit(0).cast("bigint")),
     ).drop(_HOT)
-    copies = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
+    copies = F.when(F.col(_HOT), F.sequence(zero, last)).otherwise(F.array(zero))
     salted_dim = (
-        dim.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.explode(copies).cast("long"))
-        .drop(_HOT)
+        dim.join(F.broadcast(hot), keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
     )
-    salted_facts = salted_facts.withColumn(_SALT, F.col(_SALT).cast("long"))
     return salted_facts.join(salted_dim, [*keys, _SALT], how).drop(_SALT)

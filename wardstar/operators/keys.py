@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wardstar.session import stage
 
@@ -13,31 +13,25 @@ def with_dense_key(
     """Add consecutive numbers from ``start`` in the order of ``order_by`` (unique together).
 
     The rows are range-partitioned and sorted, numbered inside their partition and
-    written once; only the small table of partition sizes is then summed up in order.
-    Writing fixes the partition bounds, so a lost executor cannot change a key.
+    written once. Only the partition sizes, one number per partition, are summed up
+    in order. Writing fixes the partition bounds, so a lost executor cannot change a key.
     """
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     position = F.monotonically_increasing_id()
     numbered = stage(
         ordered.select(
             "*",
-            F.shiftright(position, 33).alias("_part"),
+            F.shiftright(position, 33).cast("int").alias("_part"),
             position.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
         ),
         label,
     )
-    # One row per partition of the range shuffle, so a single ordered window is enough.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        numbered.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    return (
-        numbered.join(F.broadcast(offsets), "_part")
-        .withColumn(key, F.col("_offset") + F.col("_pos") + F.lit(start))
-        .select(key, *df.columns)
-    )
+    sizes = {r["_part"]: r["count"] for r in numbered.groupBy("_part").count().collect()}
+    before = [start]
+    for part in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(part, 0))
+    first = F.element_at(F.lit(before).cast("array<bigint>"), F.col("_part") + 1)
+    return numbered.select((first + F.col("_pos")).alias(key), *df.columns)
 
 
 def next_key(dim: DataFrame, key: str) -> int:
