@@ -191,7 +191,7 @@ def test_sinks(spark, tmp_path, star):
     export = str(tmp_path / "dim_patient.csv")
     sinks.export_csv(star["dim_patient"].coalesce(1), export)
     body = next(open(f"{export}/{f}").read() for f in os.listdir(export) if f.endswith(".csv"))
-    assert body.startswith('"patient_key","full_name"') and ",NULL," in body
+    assert body.startswith('"patient_key","full_name"') and ',"NULL",' in body
     again = tables.read_extract(spark, str(tmp_path), "dim_patient")
     assert values(again, "patient_key", "city") == values(star["dim_patient"].withColumn("city", F.col("city")), "patient_key", "city")
 

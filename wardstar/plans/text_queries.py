@@ -53,13 +53,13 @@ def prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS source_row_id, conv_id, turn FROM conversations
-QUALIFY source_row_id >= 200 AND source_row_id < 1000
+SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS source_row_id, o_orderkey FROM orders
+QUALIFY source_row_id >= 500 AND source_row_id < 1000
 """)
 def row_slice(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows by position in a fixed order."""
-    rows = table(spark, sf, "conversations").select("conv_id", "turn")
-    return extract.row_slice(rows, ["conv_id", "turn"], 200, 1000)
+    """A slice by position; every row of the table is numbered for it."""
+    rows = table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    return extract.row_slice(rows, ["o_orderdate", "o_orderkey"], 500, 1000).drop("o_orderdate")
 
 
 NOTE_SQL = """

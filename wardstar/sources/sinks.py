@@ -76,7 +76,9 @@ def load_or_build_vectors(
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Headed CSV with all values quoted and null as a bare word."""
+    """Headed CSV with all cells quoted; null is the word NULL, which the readers take as null."""
     df.write.mode(mode).option("header", True).option("quoteAll", True).option(
         "nullValue", "NULL"
-    ).option("escape", '"').csv(path)
+    ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
