@@ -23,6 +23,14 @@ ACTOR_KEYS = {
     "organization": "org_key",
     "payer": "payer_key",
 }
+# Form of a document, in the last three bits of its id.
+FORMS = {
+    "event": 0,  # and 1 for the short text
+    "patient_profile": 2,
+    "provider_profile": 3,
+    "organization_profile": 4,
+    "payer_profile": 5,
+}
 CORPUS = [
     "doc_id", "type", "content", "patient_id", "provider_id", "organization_id", "payer_id", "metadata",
 ]
@@ -46,6 +54,11 @@ def denormalise(star: dict[str, DataFrame], with_dates: bool = True) -> DataFram
     return out
 
 
+def document_id(key: Column, form: Column) -> Column:
+    """A number that is unique in the corpus and the same in every run."""
+    return F.shiftleft(key.cast("bigint"), 3) + form
+
+
 def _text(c: Column | str, null_text: str) -> Column:
     column = F.col(c) if isinstance(c, str) else c
     return F.coalesce(column.cast("string"), F.lit(null_text))
@@ -125,7 +138,7 @@ def event_documents(facts: DataFrame, null_text: str = "unknown") -> DataFrame:
         metadata.alias("metadata"),
         F.posexplode(F.array(detailed, short)).alias("_form", "content"),
     ).select(
-        F.concat_ws(":", lit("event"), "event_key", F.col("_form") + 1).alias("doc_id"),
+        document_id(F.col("event_key"), F.col("_form")).alias("doc_id"),
         *CORPUS[1:],
     )
 
@@ -189,7 +202,7 @@ def _profile(df: DataFrame, actor: str, source: str, content: Column, counts: li
     entries = {"source": F.lit(source), ID_COLUMNS[actor]: own, "type": F.lit(f"{actor}_profile")}
     entries.update({c: F.col(c) for c in counts})
     return df.select(
-        F.concat_ws(":", F.lit(f"{actor}_profile"), own).alias("doc_id"),
+        document_id(F.col(ACTOR_KEYS[actor]), F.lit(FORMS[f"{actor}_profile"])).alias("doc_id"),
         F.lit(f"{actor}_profile").alias("type"),
         content.alias("content"),
         *[(own if a == actor else F.lit(None).cast("string")).alias(c) for a, c in ID_COLUMNS.items()],

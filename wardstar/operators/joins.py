@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from wardstar.session import plan_bytes
+
 # A key is hot when it holds at least 1/HOT_DIVISOR of the rows, so there are
 # never more than HOT_DIVISOR hot keys: that is the bound of the broadcast below.
 HOT_DIVISOR = 1000
@@ -16,11 +18,6 @@ _SALT = "_join_salt"
 _HOT = "_join_hot"
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 

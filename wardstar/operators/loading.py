@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardstar.functions.scalars import date_of, is_blank, money, safe_double
 from wardstar.operators.joins import lookup_join
 from wardstar.operators.keys import key_map, with_dense_key
+from wardstar.session import stage
 
 SOURCE_ID = "source_id"
 
@@ -141,5 +142,6 @@ def load_facts(sources: dict[str, DataFrame], dims: dict[str, DataFrame], start:
             ("dim_payer", "payer_key"),
         )
     }
-    events = replace_ids(unify_events(sources), maps)
+    # Written before it is numbered: the range partitioning looks at its input twice.
+    events = stage(replace_ids(unify_events(sources), maps), "events")
     return with_dense_key(events, "event_key", EVENT_ORDER, start, "facts").drop("load_order")

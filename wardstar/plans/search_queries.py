@@ -14,6 +14,7 @@ from wardstar.operators.ranking import top_k
 from wardstar.operators.vectors import diversify, embed as embed_texts, nearest, squared_distance
 from wardstar.plans.registry import query
 from wardstar.plans.standins import SQL_CORPUS, clean_star, corpus, table
+from wardstar.session import spread
 
 QUESTION_SQL = """
 q AS (
@@ -97,7 +98,7 @@ FROM documents
 """)
 def embed(spark: SparkSession, sf: str) -> DataFrame:
     """Default vectors of whole documents: length, and distance to the vector of the normalised text."""
-    rows = embed_texts(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    rows = embed_texts(spread(table(spark, sf, "documents").select("doc_id", "text")), "text")
     rows = embed_texts(rows.withColumn("lowered", F.lower("text")), "lowered", "again")
     length = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return rows.select(
@@ -168,7 +169,7 @@ WHERE lang = 'en' OR len(list_filter(ws, lambda w: contains(lower(text), w))) >
 """)
 def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
     """Sources stand for actors and English documents for events; benchmark texts ask."""
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source")).select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.when(F.col("lang") == "en", "event").otherwise("other").alias("type"),
         F.col("text").alias("content"),
@@ -201,7 +202,7 @@ def fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     """Each answer of a conversation scored against the turn before it; best answers first."""
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     asked = turns.filter("role <> 'assistant'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("query"))
-    pairs = turns.filter("role = 'assistant'").join(asked, ["conv_id", "turn"])
+    pairs = spread(turns.filter("role = 'assistant'")).join(asked, ["conv_id", "turn"])
     score = fuzzy_score(F.col("query"), F.col("text"), retrieval.FUZZY_THRESHOLD)
     scored = pairs.select("conv_id", "turn", score.alias("score"))
     ranked = top_k(scored, ["conv_id"], [F.desc("score"), F.col("turn")], retrieval.FUZZY_K, spread=["conv_id", "turn"])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardstar.plans import warehouse
-from wardstar.session import stage
+from wardstar.session import spread, stage
 
 EVENT_SOURCES = {
     "careplans": "click",
@@ -53,7 +53,7 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         .when(balance > 9500, "78701-1234").otherwise((F.floor(balance) + 70000).cast("string")).alias("ZIP"),
     )
     lines = (
-        t("lineitem")
+        spread(t("lineitem"))
         .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -70,7 +70,7 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         _text("l_extendedprice").alias("TOTAL_CLAIM_COST"),
     )
     k = F.get_json_object("props", "$.k").cast("int")
-    events = t("events").select(
+    events = spread(t("events")).select(
         "event_type",
         _text("ts").alias("START"),
         F.when(F.col("value") > 150, "nobody").otherwise(_text("user_id")).alias("PATIENT"),
@@ -111,17 +111,25 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def _stored(spark: SparkSession, sf: str, label: str, build) -> dict[str, DataFrame]:
-    """Tables built and written once per application, read by every later query."""
+def _stored(
+    spark: SparkSession, sf: str, label: str, build, written: tuple[str, ...] = ()
+) -> dict[str, DataFrame]:
+    """Tables built and written once per application, read by every later query.
+
+    Tables named in ``written`` read stored files already.
+    """
     key = (spark.sparkContext.applicationId, sf, label)
     if key not in _built:
-        _built[key] = {n: stage(df, f"{label}-{n}") for n, df in build().items()}
+        _built[key] = {
+            n: df if n in written else stage(df, f"{label}-{n}") for n, df in build().items()
+        }
     return _built[key]
 
 
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The loaded star, before cleaning."""
-    return _stored(spark, sf, "star", lambda: warehouse.load_star(sources(spark, sf)))
+    numbered = ("dim_payer", "dim_organization", "dim_provider", "dim_patient", "fact_patient_events")
+    return _stored(spark, sf, "star", lambda: warehouse.load_star(sources(spark, sf)), numbered)
 
 
 def clean_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -275,7 +283,7 @@ event_text AS (
     || CASE WHEN description IS NULL THEN '' ELSE ' ' || description END AS text2
   FROM joined),
 event_docs AS (
-  SELECT 'event:' || event_key || ':' || form AS doc_id, 'event' AS type,
+  SELECT event_key * 8 + form - 1 AS doc_id, 'event' AS type,
          CASE form WHEN 1 THEN text1 ELSE text2 END AS content,
          CAST(patient_key AS VARCHAR) AS patient_id, CAST(provider_key AS VARCHAR) AS provider_id,
          CAST(org_key AS VARCHAR) AS organization_id, CAST(payer_key AS VARCHAR) AS payer_id,
@@ -289,6 +297,7 @@ event_docs AS (
 
 
 def _sql_profile(actor: str, key: str, table_: str, head: str, verb: str, middle: str = "") -> str:
+    form = {"provider": 3, "organization": 4, "payer": 5}[actor]
     return f"""
 pairs_{actor} AS (
   SELECT {key}, patient_key, count(*) AS n, min(event_key) AS first FROM c_fact WHERE {key} IS NOT NULL GROUP BY 1, 2),
@@ -298,7 +307,7 @@ stats_{actor} AS (
          string_agg(CAST(patient_key AS VARCHAR), ', ' ORDER BY first) FILTER (WHERE rn <= 10) AS patient_list
   FROM ranked_{actor} GROUP BY 1),
 {actor}_docs AS (
-  SELECT '{actor}_profile:' || t.{key} AS doc_id, '{actor}_profile' AS type,
+  SELECT t.{key} * 8 + {form} AS doc_id, '{actor}_profile' AS type,
          {head} || '{verb} ' || coalesce(patient_count, 0) || ' patients with ' || coalesce(event_count, 0) || ' total events. '
          {middle} || CASE WHEN patient_count > 0 THEN 'Patient IDs: ' || patient_list || '.' ELSE '' END AS content,
          CAST(t.{key} AS VARCHAR) AS actor_id, coalesce(event_count, 0) AS event_count, coalesce(patient_count, 0) AS patient_count
@@ -315,7 +324,7 @@ patient_categories AS (
       SELECT patient_key, event_category, min(event_key) AS first FROM c_fact WHERE event_category IS NOT NULL GROUP BY 1, 2))
   WHERE rn <= 10 GROUP BY 1),
 patient_docs AS (
-  SELECT 'patient_profile:' || p.patient_key AS doc_id, 'patient_profile' AS type,
+  SELECT p.patient_key * 8 + 2 AS doc_id, 'patient_profile' AS type,
     'Patient ' || p.patient_key || ': ' || coalesce(gender, 'unknown') || ', born ' || coalesce(CAST(birthdate AS VARCHAR), 'unknown')
     || ', lives in ' || coalesce(city, 'unknown') || ', ' || coalesce(state, 'unknown') || ' ' || coalesce(zip, 'unknown') || '. '
     || CASE WHEN event_count IS NULL THEN 'No recorded medical events.'

@@ -10,6 +10,7 @@ from wardstar.operators import documents, extract
 from wardstar.plans.registry import query
 from wardstar.plans.standins import SQL_CLEAN, SQL_CORPUS, SQL_EVENT_DOCS, SQL_PROFILES, SQL_STAR, clean_star, corpus as built_corpus, sql_bucket, star, table
 from wardstar.plans.warehouse_queries import _plain
+from wardstar.session import spread
 
 _SPACE = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -23,7 +24,7 @@ def sql_normalise(column: str) -> str:
 
 @query(f"SELECT doc_id, {sql_normalise('text')} AS clean_transcription FROM documents")
 def normalise_text(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", "text")
+    rows = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return text.with_clean_transcription(rows, "text").drop("text")
 
 
@@ -114,7 +115,7 @@ FROM clean c JOIN events e ON c.source_row_id = e.row_id
 def extract_records(spark: SparkSession, sf: str) -> DataFrame:
     """Notes to nested records: rules, parsing, provenance, numbering and imputed demographics."""
     notes = extract.row_slice(_notes(spark, sf), ["o_orderkey"], 0, 1 << 40)
-    good, _ = extract.split_responses(extract.responses(notes, "transcription"))
+    good, _ = extract.split_responses(extract.responses(spread(notes), "transcription"))
     records = extract.records_from(good)
     return records.select(
         "record_id", "rec.metadata.source_row_id", "rec.metadata.sample_name",
@@ -148,7 +149,7 @@ def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents cut into overlapping chunks."""
-    return _plain(chunks_of(table(spark, sf, "documents"), "doc_id", "text"))
+    return _plain(chunks_of(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text"))
 
 
 @query("""
@@ -157,7 +158,7 @@ SELECT doc_id, CAST(length(text) AS BIGINT) AS covered, 0::BIGINT AS too_long, 0
 def chunk_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks cover each document without gaps, stay within the size and repeat the text as it is."""
     rows = table(spark, sf, "documents").select("doc_id", "text")
-    pieces = chunks_of(rows, "doc_id", "text").join(rows, "doc_id")
+    pieces = chunks_of(spread(rows), "doc_id", "text").join(rows, "doc_id")
     before = Window.partitionBy("doc_id").orderBy("chunk_no")
     new = F.col("end") - F.greatest(F.col("start"), F.coalesce(F.lag("end").over(before), F.lit(0)))
     gap = F.col("start") > F.coalesce(F.lag("end").over(before), F.lit(0))

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Inputs below both bounds are spread over the cores by :func:`spread`.
+SMALL_SPLIT = 32 << 20
+SMALL_INPUT = 1 << 30
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -72,3 +76,20 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, before costly work per row.
+
+    Small files come in fewer splits than there are cores. Anything larger has
+    enough splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan_bytes(df) < min(cores * SMALL_SPLIT, SMALL_INPUT):
+        return df.repartition(cores)
+    return df
