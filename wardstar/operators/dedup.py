@@ -47,10 +47,12 @@ def drop_duplicates(dim: DataFrame, replaced: DataFrame, key: str) -> DataFrame:
     return dim.join(replaced.select(key), key, "left_anti")
 
 
-def repoint(facts: DataFrame, replaced: DataFrame, key: str) -> DataFrame:
+def repoint(
+    facts: DataFrame, replaced: DataFrame, key: str, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Facts of a replaced row point to the row that is kept."""
     return (
-        lookup_join(facts, replaced, key, "left")
+        lookup_join(facts, replaced, key, "left", keys_from=keys_from)
         .withColumn(key, F.coalesce("canonical", F.col(key)))
         .select(*facts.columns)
     )
@@ -59,10 +61,11 @@ def repoint(facts: DataFrame, replaced: DataFrame, key: str) -> DataFrame:
 def dedup_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """De-duplicate organisations, providers and payers and re-point the facts."""
     out = dict(tables)
-    facts = tables["fact_patient_events"]
+    stored = tables["fact_patient_events"]
+    facts = stored
     for name, (key, natural) in schemas.NATURAL_KEYS.items():
         replaced = replaced_keys(tables[name], key, natural)
         out[name] = drop_duplicates(tables[name], replaced, key)
-        facts = repoint(facts, replaced, key)
+        facts = repoint(facts, replaced, key, stored)
     out["fact_patient_events"] = facts
     return out

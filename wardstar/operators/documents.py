@@ -32,7 +32,7 @@ FORMS = {
     "payer_profile": 5,
 }
 CORPUS = [
-    "doc_id", "type", "content", "patient_id", "provider_id", "organization_id", "payer_id", "metadata",
+    "doc_id", "type", "content", "content_key", "patient_id", "provider_id", "organization_id", "payer_id", "metadata",
 ]
 
 
@@ -48,9 +48,10 @@ def denormalise(star: dict[str, DataFrame], with_dates: bool = True) -> DataFram
     ]
     if with_dates:
         dims.append(("date_key", star["dim_date"]))
-    out = star["fact_patient_events"]
+    facts = star["fact_patient_events"]
+    out = facts
     for key, dim in dims:
-        out = lookup_join(out, dim, key, "left", ["event_key"])
+        out = lookup_join(out, dim, key, "left", ["event_key"], keys_from=facts)
     return out
 
 
@@ -139,7 +140,10 @@ def event_documents(facts: DataFrame, null_text: str = "unknown") -> DataFrame:
         F.posexplode(F.array(detailed, short)).alias("_form", "content"),
     ).select(
         document_id(F.col("event_key"), F.col("_form")).alias("doc_id"),
-        *CORPUS[1:],
+        "type",
+        "content",
+        F.md5("content").alias("content_key"),
+        *CORPUS[4:],
     )
 
 
@@ -205,6 +209,7 @@ def _profile(df: DataFrame, actor: str, source: str, content: Column, counts: li
         document_id(F.col(ACTOR_KEYS[actor]), F.lit(FORMS[f"{actor}_profile"])).alias("doc_id"),
         F.lit(f"{actor}_profile").alias("type"),
         content.alias("content"),
+        F.md5(content).alias("content_key"),
         *[(own if a == actor else F.lit(None).cast("string")).alias(c) for a, c in ID_COLUMNS.items()],
         _metadata(entries).alias("metadata"),
     )

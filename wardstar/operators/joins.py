@@ -37,9 +37,9 @@ def spread_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
 
 
 def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys that hold at least 1/HOT_DIVISOR of the non-null rows (at most HOT_DIVISOR of them)."""
+    """Keys that hold at least 1/HOT_DIVISOR of the rows (at most HOT_DIVISOR of them)."""
     counts = df.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
     return counts.filter(F.col("_n") * HOT_DIVISOR >= total.scalar()).select(*on)
 
 
@@ -49,12 +49,15 @@ def lookup_join(
     on: str | list[str],
     how: str = "left",
     spread: list[str] | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``dim`` with equal names ``on`` (``how``: inner or left).
 
     A side that the planner can broadcast needs no shuffle, so no key is hot.
     Beyond that limit, rows of ``facts`` with a hot key or a null key are spread
     over salts, and the few ``dim`` rows of hot keys are repeated once per salt.
+    Hot keys are counted in ``keys_from``, by default ``facts``: in a chain of joins,
+    pass the stored table at its start, so that counting reads one column of it.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
@@ -62,7 +65,7 @@ def lookup_join(
     if fits_broadcast(dim):
         return facts.join(dim, keys, how)
 
-    hot = hot_keys(facts, keys).withColumn(_HOT, F.lit(True))
+    hot = hot_keys(facts if keys_from is None else keys_from, keys).withColumn(_HOT, F.lit(True))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     row_hash = spread_hash(facts, spread)
     salted_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(

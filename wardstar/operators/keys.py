@@ -8,15 +8,27 @@ from wardstar.session import stage
 
 
 def with_dense_key(
-    df: DataFrame, key: str, order_by: list[str], start: int = 1, label: str = "keyed"
+    df: DataFrame,
+    key: str,
+    order_by: list[str],
+    start: int = 1,
+    label: str = "keyed",
+    stored: bool = False,
 ) -> DataFrame:
-    """Add consecutive numbers from ``start`` in the order of ``order_by`` (unique together).
+    """Add consecutive numbers from ``start`` in the order of ``order_by``.
 
     The rows are range-partitioned and sorted, numbered inside their partition and
     written once. Only the partition sizes, one number per partition, are summed up
     in order. Writing fixes the partition bounds, so a lost executor cannot change a key.
+
+    Range partitioning looks at its input twice, so the input is written first unless
+    it reads ``stored`` files already. Rows that are equal in ``order_by`` are told
+    apart by their place in those files: copies of one row spread over many tasks.
     """
-    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    source = df if stored else stage(df, f"{label}-input")
+    order = [*order_by, "_place"]
+    placed = source.withColumn("_place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_place")
     position = F.monotonically_increasing_id()
     numbered = stage(
         ordered.select(

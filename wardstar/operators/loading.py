@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardstar.functions.scalars import date_of, is_blank, money, safe_double
-from wardstar.operators.joins import lookup_join
+from wardstar.operators.joins import fits_broadcast, lookup_join
 from wardstar.operators.keys import key_map, with_dense_key
 from wardstar.session import stage
 
@@ -120,6 +120,9 @@ def unify_events(sources: dict[str, DataFrame]) -> DataFrame:
 
 def replace_ids(events: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:
     """Source ids become keys: events of unknown patients are dropped, other unknown ids become null."""
+    if not all(fits_broadcast(m) for m in maps.values()):
+        # Some lookup has to shuffle: its hot keys are counted in columnar files.
+        events = stage(events, "source-events")
     out = events
     for column, key, how in (
         ("patient_id", "patient_key", "inner"),
@@ -127,7 +130,8 @@ def replace_ids(events: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:
         ("org_id", "org_key", "left"),
         ("payer_id", "payer_key", "left"),
     ):
-        out = lookup_join(out, maps[key].select(F.col(SOURCE_ID).alias(column), key), column, how)
+        known = maps[key].select(F.col(SOURCE_ID).alias(column), key)
+        out = lookup_join(out, known, column, how, keys_from=events)
     return out.drop("patient_id", "provider_id", "org_id", "payer_id")
 
 
@@ -142,6 +146,5 @@ def load_facts(sources: dict[str, DataFrame], dims: dict[str, DataFrame], start:
             ("dim_payer", "payer_key"),
         )
     }
-    # Written before it is numbered: the range partitioning looks at its input twice.
-    events = stage(replace_ids(unify_events(sources), maps), "events")
+    events = replace_ids(unify_events(sources), maps)
     return with_dense_key(events, "event_key", EVENT_ORDER, start, "facts").drop("load_order")

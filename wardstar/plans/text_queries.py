@@ -208,7 +208,7 @@ EVENT_META = ["category", "date", "related_provider", "related_organization", "r
 def event_documents(spark: SparkSession, sf: str) -> DataFrame:
     facts = documents.denormalise(clean_star(spark, sf), with_dates=False)
     docs = documents.event_documents(facts)
-    return docs.select("*", *[F.col("metadata")[m].alias(m) for m in EVENT_META]).drop("metadata")
+    return docs.select("*", *[F.col("metadata")[m].alias(m) for m in EVENT_META]).drop("metadata", "content_key")
 
 
 @query("WITH " + SQL_CLEAN + "," + SQL_PROFILES + "SELECT doc_id, type, content, actor_id, event_count, patient_count FROM profile_docs")
@@ -224,7 +224,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH " + SQL_CORPUS + "SELECT * FROM corpus")
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return built_corpus(spark, sf).drop("metadata", "embedding")
+    return built_corpus(spark, sf).drop("metadata", "embedding", "content_key")
 
 
 @query("WITH " + SQL_CORPUS + """

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardstar import schemas
 from wardstar.operators import clean, dates, dedup, documents, flatten, keys, loading, quality
+from wardstar.operators.joins import lookup_join
 from wardstar.operators.vectors import embed
 from wardstar.sources.tables import read_source
 
@@ -84,7 +85,7 @@ def corpus_with_vectors(tables: dict[str, DataFrame], make_predict_fn: Callable
 
 def fact_summary(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Events and cost per year and category."""
-    dated = facts.join(dim_date.select("date_key", "year"), "date_key")
+    dated = lookup_join(facts, dim_date.select("date_key", "year"), "date_key", "inner")
     return dated.groupBy("year", "event_category").agg(
         F.count(F.lit(1)).alias("events"), F.sum(F.col("cost").cast("decimal(18,2)")).alias("total_cost")
     )
