@@ -10,7 +10,8 @@ from wardstar.operators import documents, extract
 from wardstar.plans.registry import query
 from wardstar.plans.standins import SQL_CLEAN, SQL_CORPUS, SQL_EVENT_DOCS, SQL_PROFILES, SQL_STAR, clean_star, corpus as built_corpus, sql_bucket, star, table
 from wardstar.plans.warehouse_queries import _plain
-from wardstar.session import spread
+from wardstar.session import fresh_path, spread
+from wardstar.sources import sinks, tables
 
 _SPACE = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -28,6 +29,17 @@ def normalise_text(spark: SparkSession, sf: str) -> DataFrame:
     return text.with_clean_transcription(rows, "text").drop("text")
 
 
+@query(f"SELECT doc_id, source AS sample_name, {sql_normalise('text')} AS clean_transcription FROM documents")
+def transcription_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks and quotes written as CSV, read back and normalised."""
+    path = fresh_path(spark, "transcriptions")
+    rows = table(spark, sf, "documents").select("doc_id", F.col("text").alias("transcription"), F.col("source").alias("sample_name"))
+    sinks.export_csv(spread(rows), path)
+    read = tables.read_transcriptions(spark, path)
+    cleaned = text.with_clean_transcription(read)
+    return cleaned.select(F.col("doc_id").cast("bigint").alias("doc_id"), "sample_name", "clean_transcription")
+
+
 CONTEXT_SQL = r"""
   'conv_id: ' || conv_id || chr(10) || 'turn: ' || turn || chr(10) || 'role: ' || coalesce(nullif(role, 'system'), 'nan')
   || chr(10) || 'text: ' || text"""
