@@ -1,4 +1,8 @@
 """All registered queries."""
 
-from wardstar.plans import scalar_queries, search_queries, text_queries, warehouse_queries  # noqa: F401
+# In this order the tables that later queries share are built step by step.
+from wardstar.plans import scalar_queries  # noqa: F401  isort: skip
+from wardstar.plans import warehouse_queries  # noqa: F401  isort: skip
+from wardstar.plans import text_queries  # noqa: F401  isort: skip
+from wardstar.plans import search_queries  # noqa: F401  isort: skip
 from wardstar.plans.registry import QUERIES, SQL  # noqa: F401

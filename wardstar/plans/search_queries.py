@@ -265,6 +265,25 @@ def hybrid_coverage(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("num_documents"), F.count_if("is_event").alias("num_events"))
 
 
+@query("WITH " + SQL_CORPUS + """
+, texts AS (
+  SELECT actor_type || ':' || actor_id AS query_id, content, bool_or(type = 'event') AS is_event FROM named
+  WHERE actor_type IN ('provider', 'payer') GROUP BY 1, 2)
+SELECT query_id, split_part(query_id, ':', 1) AS actor_type, split_part(query_id, ':', 2) AS actor_id,
+  count(*) AS num_documents_retrieved, least(count(*) FILTER (WHERE is_event), 100) AS num_events,
+  least(count(*), 100) AS in_context, least(count(*), 20) AS shown FROM texts GROUP BY 1
+""")
+def answer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers about actors: events come first, 100 documents make the context, 20 are shown."""
+    asked = retrieval.prepare_questions(_actor_questions(spark, sf), "service")
+    documents = corpus(spark, sf)
+    rows = retrieval.answers(documents, asked, retrieval.retrieve(documents, asked, "service"))
+    return rows.select(
+        "query_id", "actor_type", "actor_id", "num_documents_retrieved", "num_events",
+        F.size(F.split("context", "\n\n")).cast("bigint").alias("in_context"),
+        F.size("documents").cast("bigint").alias("shown"))
+
+
 @query("WITH " + SQL_CORPUS + """
 SELECT count(*) AS total_documents, count(DISTINCT patient_id) AS unique_patients, count(DISTINCT provider_id) AS unique_providers,
   count(DISTINCT organization_id) AS unique_organizations, count(DISTINCT payer_id) AS unique_payers,
