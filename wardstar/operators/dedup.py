@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardstar import schemas
 from wardstar.operators.joins import lookup_join
+from wardstar.session import stage
 
 
 def natural_key(columns: list[str]) -> dict[str, Column]:
@@ -59,12 +60,16 @@ def repoint(
 
 
 def dedup_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """De-duplicate organisations, providers and payers and re-point the facts."""
+    """De-duplicate organisations, providers and payers and re-point the facts.
+
+    The replaced keys are written first: two results read them, and their true size
+    decides whether the facts have to be shuffled for the re-pointing.
+    """
     out = dict(tables)
     stored = tables["fact_patient_events"]
     facts = stored
     for name, (key, natural) in schemas.NATURAL_KEYS.items():
-        replaced = replaced_keys(tables[name], key, natural)
+        replaced = stage(replaced_keys(tables[name], key, natural), f"replaced-{key}")
         out[name] = drop_duplicates(tables[name], replaced, key)
         facts = repoint(facts, replaced, key, stored)
     out["fact_patient_events"] = facts
