@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import quality_rules
+from wardstar.llm import packing, quality_rules
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "quality_probability",
         "kept",
     )
+
+
+@query
+def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
