@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import packing, quality_rules
+from wardstar.llm import mixing, packing, quality_rules
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,12 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    made = mixing.mix(table(spark, folder, "documents"))
+    each = made.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))))
+    return each.select(
+        F.col("k").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
