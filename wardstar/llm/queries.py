@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import mixing, packing, quality_rules
+from wardstar.llm import decontamination, mixing, packing, quality_rules
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,18 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return each.select(
         F.col("k").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    index = decontamination.build_index(table(spark, folder, "documents"))
+    found = decontamination.search(index, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontamination.n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        F.size("near_items").cast("bigint").alias("n_near_items"),
+    )
