@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import decontamination, mixing, packing, quality_rules
+from wardstar.llm import decontamination, jaccard, mixing, packing, quality_rules
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,9 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"),
         F.size("near_items").cast("bigint").alias("n_near_items"),
     )
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.classes(table(spark, folder, "documents"))
+    return found.select(F.col("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
