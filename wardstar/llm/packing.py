@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -44,8 +45,8 @@ FILE_IDS = 2 << 20
 END_ID = 2
 VOCABULARY = 50257
 TOKENIZER = "byte_bpe_50k.json"
-KNOWN_PIECES = 1_000_000
-SLICE_BYTES = 8 << 20
+KNOWN_PIECES = 800_000
+SLICE_BYTES = 4 << 20
 
 
 def width(vocabulary: int) -> int:
@@ -137,42 +138,91 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints,
+    else the next one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+_L = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_P = re.escape("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+_PARTS = re.compile(f"([{_L}]*)([{_P}]*)(?:\n([{_L}]+)([{_P}]*))?").fullmatch
+
+
 class Encoder:
-    """Ids of whole texts; each distinct piece is encoded once while it is known.
+    """Ids of whole texts; each distinct word is encoded once while it is known.
 
-    At most KNOWN_PIECES pieces are remembered; then the memory starts anew.
+    The pre-tokenizer cuts a word of Latin letters and ASCII marks after the letters, and a line
+    end is a piece of its own: such pieces go straight to the library's model. Any other word
+    goes through the whole library. At most KNOWN_PIECES words are remembered; then the memory
+    starts anew.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids = np.empty(0, np.uint32)
+        self.ids = np.empty(0, np.uint16 if VOCABULARY <= 1 << 16 else np.uint32)
         self.used = 0
         self.bounds = np.zeros(1, np.int32)
-
-    def learn(self, pieces: list[str]) -> np.ndarray:
-        """The numbers of ``pieces``, which are distinct, encoding those that are new."""
-        numbers = list(map(self.place.get, pieces))
-        fresh = [p for p, n in zip(pieces, numbers, strict=True) if n is None]
+        self.ends: dict[str, list[int]] = {}
+
+    def _piece(self, piece: str) -> list[int]:
+        letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [token.id for token in self.model.tokenize(letters)]
+
+    def _end(self, end: str) -> list[int]:
+        ids = self.ends.get(end)
+        if ids is None:
+            ids = self.ends[end] = self._piece(end)
+        return ids
+
+    def _word(self, word: str, blank: str) -> list[int]:
+        parts = _PARTS(word)
+        if not parts:
+            return self.tokenizer.encode(blank + word, add_special_tokens=False).ids
+        letters, end, more, last = parts.groups()
+        if not end and not more:
+            return self._piece(blank + letters)
+        if not letters:
+            return self.tokenizer.encode(blank + word, add_special_tokens=False).ids
+        at = self.place.get(blank + letters)
+        ids = self._piece(blank + letters) if at is None else self.ids[self.bounds[at] : self.bounds[at + 1]].tolist()
+        if end:
+            ids = ids + self._end(end)
+        if more:
+            ids = ids + self._end("\n") + self._piece(more)
+            if last:
+                ids += self._end(last)
+        return ids
+
+    def learn(self, words: list[str], blank: str) -> np.ndarray:
+        """The numbers of ``words``, which are distinct and follow ``blank``, encoding new ones."""
+        keys = [blank + w for w in words] if blank else words
+        numbers = list(map(self.place.get, keys))
+        fresh = [i for i, n in enumerate(numbers) if n is None]
         if fresh and len(self.place) + len(fresh) > KNOWN_PIECES:
             self.forget()
-            numbers, fresh = [None] * len(pieces), pieces
+            numbers, fresh = [None] * len(words), range(len(words))
         if fresh:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            word = self._word
+            found = [word(words[i], blank) for i in fresh]
             lengths = np.fromiter(map(len, found), np.int32, len(found))
             grown = self.used + int(lengths.sum())
             if grown > len(self.ids):
-                self.ids = np.concatenate([self.ids[: self.used], np.empty(grown + (1 << 16), np.uint32)])
-            self.ids[self.used : grown] = np.fromiter(chain.from_iterable(found), np.uint32, grown - self.used)
+                self.ids = np.concatenate([self.ids[: self.used], np.empty(grown + (1 << 16), self.ids.dtype)])
+            self.ids[self.used : grown] = np.fromiter(chain.from_iterable(found), self.ids.dtype, grown - self.used)
             self.used = grown
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths, dtype=np.int32)])
-            fresh_numbers = range(len(self.place), len(self.place) + len(fresh))
-            self.place.update(zip(fresh, fresh_numbers, strict=True))
-            follow = iter(fresh_numbers)
-            numbers = [next(follow) if n is None else n for n in numbers]
+            first = len(self.place)
+            for number, i in enumerate(fresh, first):
+                numbers[i] = self.place[keys[i]] = number
         return np.array(numbers, np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -185,21 +235,23 @@ class Encoder:
         starts = lists.offsets.to_numpy()
         words = lists.values.dictionary_encode()
         number = words.indices.to_numpy()
-        vocabulary = words.dictionary.to_pylist()
         first = starts[:-1]
         uncut = [t if w else c for t, w, c in zip(texts.to_pylist(), whole.to_pylist(), _firsts(lists), strict=True)]
         heads = list(dict.fromkeys(uncut))
+        vocabulary = words.dictionary.to_pylist()
+        # both in one call, so that the memory cannot start anew between them
+        if len(self.place) + len(vocabulary) + len(heads) > KNOWN_PIECES:
+            self.forget()
+        pieces = self.learn(vocabulary, " ")[number]
         short = [h for h in heads if len(h) <= 64]
-        long = {h: self.tokenizer.encode(h, add_special_tokens=False).ids for h in heads if len(h) > 64}
-        known = self.learn([" " + w for w in vocabulary] + short)
-        pieces = known[: len(vocabulary)][number]
-        place = dict(zip(short, known[len(vocabulary) :].tolist(), strict=True))
+        place = dict(zip(short, self.learn(short, "").tolist(), strict=True))
         ids, bounds = self.ids, self.bounds
-        if long:
-            tail = [np.array(v, np.uint32) for v in long.values()]
+        if len(short) < len(heads):
+            long = [h for h in heads if len(h) > 64]
+            tail = [np.array(self.tokenizer.encode(h, add_special_tokens=False).ids, ids.dtype) for h in long]
+            place |= dict(zip(long, range(len(bounds) - 1, len(bounds) - 1 + len(long)), strict=True))
             bounds = np.concatenate([bounds, bounds[-1] + np.cumsum([len(t) for t in tail], dtype=np.int32)])
             ids = np.concatenate([ids[: self.used], *tail])
-            place |= dict(zip(long, range(len(self.bounds) - 1, len(bounds) - 1), strict=True))
         pieces[first] = [place[h] for h in uncut]
         table = pa.LargeListArray.from_arrays(bounds.astype(np.int64), ids[: int(bounds[-1])])
         taken = table.take(pa.array(pieces))
