@@ -279,7 +279,8 @@ def search(
     parts = []
     for block in _item_blocks(benchmark, item_id, text, block_words):
         terms = sorted({w for _, words in block for w in words})
-        wanted = spark.createDataFrame([(bytearray(t),) for t in terms], "term binary")
+        # at most block_words terms
+        wanted = F.broadcast(spark.createDataFrame([(bytearray(t),) for t in terms], "term binary"))
         rows = index.select("segment", "term", "postings", "doc_ids")
         chosen = rows.filter("term is not null").join(wanted, "term", "left_semi")
         rows = rows.filter("term is null").unionByName(chosen.select(rows.columns))
