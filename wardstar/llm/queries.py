@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import decontamination, jaccard, mixing, packing, quality_rules, warc
+from wardstar.llm import decontamination, jaccard, mixing, packing, quality_classifier, quality_rules, warc
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,15 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CAST(NULL AS VARCHAR) AS problem
 FROM f
 """
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_classifier.train(docs, table(spark, folder, "labels"))
+    return quality_classifier.scored(docs, model).select(
+        "doc_id",
+        (quality_classifier.fold("doc_id") == quality_classifier.HELD_OUT_FOLD).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.KEEP_FROM).cast("int").alias("predicted"),
+    )
