@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import decontamination, jaccard, mixing, packing, quality_classifier, quality_rules, warc
+from wardstar.llm import chat, decontamination, jaccard, mixing, packing, quality_classifier, quality_rules, warc
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,8 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= quality_classifier.KEEP_FROM).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repaired(table(spark, folder, "conversations"))
