@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import chat, decontamination, jaccard, mixing, packing, quality_classifier, quality_rules, warc
+from wardstar.llm import chat, decontamination, jaccard, mixing, packing, pii, quality_classifier, quality_rules, warc
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,21 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
     return chat.repaired(table(spark, folder, "conversations"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.read_documents(table(spark, folder, "documents"))
+    done = pii.accepted(found, pii.fit(found))
+    base = F.col("base")
+    every = F.concat(
+        F.transform(base, lambda s: F.struct(s.kind, s.start, s.stop)),
+        F.transform("added", lambda s: F.struct(s.kind, s.start, s.stop)),
+    )
+    return done.select(
+        F.col("k").alias("doc_id"),
+        *[pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+        pii.joined(every).alias("spans"),
+        F.size("added").cast("bigint").alias("n_added"),
+    )
