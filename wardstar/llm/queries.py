@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import chat, decontamination, jaccard, mixing, packing, pii, quality_classifier, quality_rules, warc
+from wardstar.llm import chat, decontamination, jaccard, mixing, packing, pii, quality_classifier, quality_rules, toxicity, warc
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,15 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         pii.joined(every).alias("spans"),
         F.size("added").cast("bigint").alias("n_added"),
     )
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, folder, "labels"))
+    held = toxicity.scored(docs, chain).select("doc_id", "toxicity.*")
+    return held.select(
+        "doc_id",
+        *[F.col(c).alias(f"p_{c}") for c in toxicity.CATEGORIES],
+        (F.col("toxic") >= toxicity.TOXIC_FROM).alias("is_toxic"),
+    )
