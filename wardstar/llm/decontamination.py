@@ -324,13 +324,12 @@ def clean_documents(
 ) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with exactly the columns of ``docs``.
 
-    Rows are told apart by ``doc_id``: all rows with the id of a contaminated one go, and so do,
-    when one of them is, all rows with a null id.
+    Rows are told apart by a hash of id and text, so equal rows share one verdict.
     """
-    found = search(build_index(docs, doc_id, text), benchmark, item_id, "text")
-    key = "_hit_id"
+    key = "_row_key"
     while key in docs.columns:
         key += "_"
-    hit = found.filter(F.size("items") > 0).select(F.col("doc_id").alias(key)).distinct()
-    same = docs[f"`{doc_id}`"].cast("bigint").eqNullSafe(hit[key])
-    return docs.join(hit, same, "left_anti")
+    told = docs.withColumn(key, F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
+    found = search(build_index(told, key, text), benchmark, item_id, "text")
+    hit = stage(found.filter(F.size("items") > 0).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return told.join(hit, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -466,11 +466,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Rows with a null id stay; of rows with one id, all stay or none.
     """
-    found = classes(docs, doc_id, text)
-    keep = found.filter("k = component").select("k").distinct()
-    key = "_kept_id"
+    key = "_dropped_id"
     while key in docs.columns:
         key += "_"
-    id_of = F.col(f"`{doc_id}`").cast("bigint")
-    held = docs.join(keep.withColumnRenamed("k", key), id_of == F.col(key), "left_semi")
-    return held.unionByName(docs.filter(F.col(f"`{doc_id}`").isNull()))
+    found = classes(docs, doc_id, text)
+    dropped = stage(found.filter("k <> component").select(F.col("k").alias(key)).distinct(), "gram-dropped")
+    return docs.join(dropped, F.col(f"`{doc_id}`").cast("bigint") == F.col(key), "left_anti")
