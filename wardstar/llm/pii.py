@@ -35,7 +35,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NUMERIC = re.compile(r"[0-9][0-9.\x20-]{6,}")
-NATIONAL = re.compile(r"\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}(?![0-9])|(?<![0-9+().-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])")
+NATIONAL = re.compile(r"(?<!\+[0-9] )(?<!\+[0-9]{2} )(?<!\+[0-9]{3} )\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}(?![0-9])|(?<![0-9+().-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])")
 MASKED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,64}(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{2,24}){1,4}")
 TOP_LEVEL = frozenset("com org net edu gov int info biz io co uk de fr es it nl eu us ca au ch at be se pl example".split())
 CALLING_CODES = tuple("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 351 352 353 358 380 420".split())
