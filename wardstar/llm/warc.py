@@ -194,8 +194,8 @@ def write_archives(
 
     The payload is the html in UTF-8; null is empty. Of rows with equal payloads of at least
     ``least`` bytes the one with the smallest page id is the response. Page ids are expected to be
-    unique: of rows with one id, one is kept; rows without an id are left out. A table without
-    rows gives no records.
+    unique: rows that share one give a record each. Rows without an id are left out. A table
+    without rows gives no records.
     """
     rows = pages.select(
         F.col(f"`{page_id}`").cast("bigint").alias("page"),
@@ -205,15 +205,17 @@ def write_archives(
     size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("bigint")
     known = stage(rows.select("page", _digests("html").alias("digest"), size.alias("size")), "warc-digests")
     same = known.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page").alias("first"), F.max("page").alias("last"))
-    copies = lookup_join(known, same.filter("first <> last").select("digest", "first"), "digest", "inner", spread=["page"])
-    again = copies.filter("page <> first").select("page", F.col("first").alias("refers"), "digest")
-    once = rows.join(again, "page", "left").select(
+    firsts = stage(same.filter("first <> last").select("digest", "first"), "warc-firsts")
+    copies = lookup_join(known, firsts, "digest", "inner", spread=["page"])
+    again = copies.filter("page <> first").select("page", F.col("first").alias("refers"), "digest").distinct()
+    told = lookup_join(rows, stage(again, "warc-again"), "page", "left", spread=["page"])
+    # a revisit carries no payload
+    once = told.select(
         "page", "url", F.when(F.col("refers").isNull(), F.col("html")).alias("html"), "refers", "digest"
     )
-    records = once.dropDuplicates(["page"]).mapInArrow(_records, "value binary")
-    spread = records.repartition(F.xxhash64("value"))
     (
-        spread.select(F.col("value").cast("string"))
+        once.mapInArrow(_records, "value binary")
+        .select(F.col("value").cast("string"))
         .write.option("lineSep", END)
         .option("maxRecordsPerFile", FILE_RECORDS)
         .text(folder)
@@ -227,27 +229,34 @@ def _page_of(urn: str | None) -> int | None:
     return int(urn.strip("<>").split(":")[2]) if urn else None
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _parse(segmented: bool):
+    """The records of whole files: those that are segments, or those that are not."""
     names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
     types = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-    for batch in batches:
-        for content in batch.column(0):
-            rows = []
-            for headers, block in parse_records(content.as_py()):
-                total, refers = headers.get("warc-segment-total-length"), headers.get("warc-refers-to")
-                rows.append(
-                    (
-                        _page_of(headers.get("warc-segment-origin-id") or headers["warc-record-id"]),
-                        headers["warc-type"],
-                        int(headers.get("warc-segment-number", 1)),
-                        int(total) if total else None,
-                        headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                        _page_of(refers),
-                        block,
-                    )
+
+    def rows(data: bytes) -> Iterator[tuple]:
+        for headers, block in parse_records(data):
+            if ("warc-segment-number" in headers) == segmented:
+                total = headers.get("warc-segment-total-length")
+                yield (
+                    _page_of(headers.get("warc-segment-origin-id") or headers["warc-record-id"]),
+                    headers["warc-type"],
+                    int(headers.get("warc-segment-number", 1)),
+                    int(total) if total else None,
+                    headers.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+                    _page_of(headers.get("warc-refers-to")),
+                    block,
                 )
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                found = list(rows(content.as_py()))
+                if found:
+                    columns = zip(zip(*found, strict=True), types, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
+
+    return run
 
 
 READ_TYPE = T.StructType([T.StructField("payload", T.BinaryType()), T.StructField("problem", T.StringType())])
@@ -271,22 +280,31 @@ def _decoded(segments: pd.Series, digest: pd.Series) -> pd.DataFrame:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page of the archives: page_id, record_type, payload, payload_digest, refers_to, problem.
 
-    A revisit has no payload of its own. A page whose segments are incomplete, or whose framing,
+    A revisit has no payload of its own. Records of one page that are not segments give a row each;
+    segments of one page are taken together. A page whose segments are incomplete, or whose framing,
     length or digest is wrong, has a null payload and the problem in words.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
-    records = files.mapInArrow(_parse, RECORD_SCHEMA)
     part = F.struct("number", "total", "block")
-    pages = records.groupBy("origin").agg(
+    columns = ["origin", "kind", "digest", "refers", "parts"]
+    # only segments need their page's other records
+    whole = files.mapInArrow(_parse(False), RECORD_SCHEMA).withColumn("parts", F.array(part)).select(*columns)
+    segments = files.mapInArrow(_parse(True), RECORD_SCHEMA)
+    joined = segments.groupBy("origin").agg(
+        F.max(F.when(F.col("kind") != "continuation", F.col("kind"))).alias("kind"),
+        F.max("digest").alias("digest"),
+        F.max("refers").alias("refers"),
         F.collect_list(part).alias("parts"),
-        F.max(F.when(F.col("kind") != "continuation", F.col("kind"))).alias("record_type"),
-        F.max("digest").alias("payload_digest"),
-        F.max("refers").alias("refers_to"),
     )
-    got = F.when(F.col("refers_to").isNull(), _decoded("parts", "payload_digest"))
-    read = pages.withColumn("got", got)
+    pages = whole.unionByName(joined.select(*columns))
+    read = pages.withColumn("got", F.when(F.col("refers").isNull(), _decoded("parts", "digest")))
     return read.select(
-        F.col("origin").alias("page_id"), "record_type", "got.payload", "payload_digest", "refers_to", "got.problem"
+        F.col("origin").alias("page_id"),
+        F.col("kind").alias("record_type"),
+        "got.payload",
+        F.col("digest").alias("payload_digest"),
+        F.col("refers").alias("refers_to"),
+        "got.problem",
     )
 
 
