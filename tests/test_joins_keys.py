@@ -25,9 +25,10 @@ def test_salted_join_equals_plain_join(spark, no_broadcast, how):
     assert values(got, "event_key", "k", "v") == values(facts.join(dim, "k", how), "event_key", "k", "v")
 
 
-def test_salted_join_spreads_hot_and_null_keys(spark, no_broadcast):
+def test_salted_join_spreads_hot_and_null_keys(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "PIECE_ROWS", 100)
     facts = facts_with_hot_key(spark)
-    hot = [r["k"] for r in joins.hot_keys(facts, ["k"]).collect()]
+    hot = [r["k"] for r in joins.hot_keys(facts, ["k"], 100).collect()]
     assert hot == ["hot"]
     plan = joins.lookup_join(facts, facts.select("k").distinct(), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "_join_salt" in plan
@@ -70,7 +71,7 @@ def test_orphans(spark):
 
 def test_top_k_of_a_hot_group(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") % 2 == 0, "big").otherwise(F.col("id").cast("string")).alias("g"))
-    got = top_k(df, ["g"], [F.desc("id")], 3, spread=["id"]).filter("g = 'big'")
+    got = top_k(df, ["g"], [F.desc("id")], 3).filter("g = 'big'")
     assert values(got, "id", "rank") == [(4994, 3), (4996, 2), (4998, 1)]
 
 
@@ -79,3 +80,22 @@ def test_first_seen_list(spark):
     df = spark.createDataFrame(rows, "p int, c string, e int")
     got = dict(values(first_seen_list(df, "p", "c", "e", 10, "out")))
     assert got == {1: "b, a", 3: ", ".join(f"v{i:02d}" for i in range(14, 4, -1))}
+
+
+def test_hot_keys_are_cut_by_their_rows(spark, no_broadcast, monkeypatch):
+    """One key with 40 % of the rows: no task gets more than a set share."""
+    monkeypatch.setattr(joins, "PIECE_ROWS", 500)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        key = F.when(F.col("id") % 10 < 4, "hot").when(F.col("id") % 10 == 4, None).otherwise(F.concat(F.lit("k"), F.col("id")))
+        facts = spark.range(40_000).select("id", key.alias("k"))
+        dim = facts.select("k").dropna().distinct().withColumn("v", F.length("k"))
+        pieces = {r["k"]: r["_join_pieces"] for r in joins.hot_keys(facts, ["k"], 500).collect()}
+        assert pieces == {"hot": 32}
+        got = joins.lookup_join(facts, dim, "k", "left", spread=["id"])
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) <= 0.25 * 40_000
+        assert got.filter("v is not null").count() == 36_000 and got.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

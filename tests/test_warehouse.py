@@ -258,7 +258,7 @@ def test_extraction_with_rules_and_rejects(spark):
         return texts.map(lambda t: "not json" if t is None else '{"dim_payer": {"name": "P"}}')
 
     good, rejects = extract.split_responses(extract.responses(df, "transcription", model))
-    assert values(rejects, "source_row_id") == [(1,), (2,)]
+    assert values(rejects, "source_row_id", "error") == [(1, None), (2, "ValueError: ")]
     assert values(extract.records_from(good), "record_id") == [("1500",)]
 
 
@@ -292,3 +292,53 @@ def test_profile_lists_ten_patients_first_seen_first(spark):
         "Patient IDs: 14, 13, 12, 11, 10, 9, 8, 7, 6, 5."
     )
     assert got[16 + 3] == "Provider 2: M, Specialty: S. Treated 0 patients with 0 total events. "
+
+
+def test_functions_of_the_caller(spark):
+    """Random answers are asked for once; failures give the name for failures or a reject."""
+    import uuid
+
+    import pandas as pd
+
+    from wardstar.operators import clean
+
+    rows = [(i, None if i % 2 else "Dr. Real", "Surgery") for i in range(8)]
+    providers = spark.createDataFrame(rows, schemas.STAR["dim_provider"])
+    named = clean.fill_names(providers, lambda s: pd.Series([uuid.uuid4().hex for _ in s]))
+    assert values(named) == values(named)
+    assert len({r["name"] for r in named.collect()}) == 5
+
+    def broken(specialties):
+        raise RuntimeError("no model")
+
+    assert {r["name"] for r in clean.fill_names(providers, broken).collect()} == {"Dr. Real", "Dr. Unknown"}
+
+    notes = spark.createDataFrame([(i, "s", f"note {i}") for i in range(6)], "source_row_id long, sample_name string, transcription string")
+
+    def answer(texts):
+        if texts.iloc[0] == "note 3":
+            raise RuntimeError("quota")
+        return texts.map(lambda t: '{"dim_payer": {"name": "' + uuid.uuid4().hex + '"}}')
+
+    good, rejects = extract.split_responses(extract.responses(notes, "transcription", answer))
+    assert values(good.select("rec")) == values(good.select("rec"))
+    assert values(rejects, "source_row_id", "error") == [(3, "RuntimeError: quota")]
+    batch, left = extract.split_responses(extract.responses(notes.coalesce(1), "transcription", broken, batched=True))
+    assert batch.count() == 0 and {r["error"] for r in left.collect()} == {"RuntimeError: no model"}
+
+
+def test_staged_tables_are_released(spark, monkeypatch):
+    import os
+    import uuid
+
+    from wardstar.session import release, run_dir, stage
+
+    stage(spark.range(3), "kept")
+    folder = run_dir(spark).removeprefix("file:")
+    assert any(name.startswith("kept-") for name in os.listdir(folder))
+    elsewhere = f"{run_dir(spark)}-{uuid.uuid4().hex}"
+    monkeypatch.setattr("wardstar.session.run_dir", lambda _: elsewhere)
+    stage(spark.range(3), "gone")
+    assert os.path.isdir(elsewhere)
+    release(spark)
+    assert not os.path.exists(elsewhere) and os.path.isdir(folder)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardstar.functions.scalars import any_of, blank_to, bucket, is_blank, lookup, pick
+from wardstar.session import stage
 
 # Defaults, zips and placeholder names.
 DEFAULT_CITY = "UNKNOWN"
@@ -111,7 +112,8 @@ def fill_names(
 
     ``name_fn`` turns a batch of specialties into raw names (null on failure), for
     instance by calling a model; by default names come from a seeded list. The
-    function runs only on the rows that need a name.
+    function runs only on the rows that need a name, once: what it gives is written
+    before anything reads it. A batch that raises gets the name for failures.
     """
     placeholder = is_placeholder(F.col("name"))
     if name_fn is None:
@@ -119,10 +121,17 @@ def fill_names(
         return providers.withColumn(
             "name", F.when(placeholder, doctor_name(raw)).otherwise(F.col("name"))
         )
-    named = F.pandas_udf(name_fn, T.StringType())
+
+    def guarded(specialties: pd.Series) -> pd.Series:
+        try:
+            return name_fn(specialties)
+        except Exception:
+            return pd.Series([None] * len(specialties), dtype=object)
+
+    named = F.pandas_udf(guarded, T.StringType())
     marked = providers.withColumn("_fill", F.coalesce(placeholder, F.lit(True)))
     filled = marked.filter("_fill").withColumn("name", doctor_name(named(F.col("specialty"))))
-    return marked.filter("not _fill").unionByName(filled).drop("_fill")
+    return marked.filter("not _fill").unionByName(stage(filled, "names")).drop("_fill")
 
 
 def clean_patients(df: DataFrame) -> DataFrame:

@@ -192,7 +192,7 @@ def _actor_profile_facts(facts: DataFrame, key: str) -> DataFrame:
     )
     first = top_k(
         pairs.select(key, "patient_key", "_first"),
-        [key], [F.col("_first"), F.col("patient_key")], LISTED, "_rank", [key, "patient_key"],
+        [key], [F.col("_first"), F.col("patient_key")], LISTED, "_rank",
     )
     ids = F.array_sort(F.collect_list(F.struct("_rank", _id(facts, "patient_key").alias("_v"))))
     listed = first.groupBy(key).agg(

@@ -48,11 +48,12 @@ TEXT_DATE = r"([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
 def row_slice(
-    df: DataFrame, order_by: list[str], start: int = SLICE_START, end: int = SLICE_END
+    df: DataFrame, order_by: list[str], start: int = SLICE_START, end: int | None = SLICE_END
 ) -> DataFrame:
-    """Rows ``start <= source_row_id < end`` counted from 0 in the given order."""
+    """Rows ``start <= source_row_id < end`` counted from 0 in the given order; no ``end`` takes all."""
     numbered = with_dense_key(df, "source_row_id", order_by, 0, "transcriptions")
-    return numbered.filter((F.col("source_row_id") >= start) & (F.col("source_row_id") < end))
+    wanted = numbered.filter(F.col("source_row_id") >= start)
+    return wanted if end is None else wanted.filter(F.col("source_row_id") < end)
 
 
 def prompts(df: DataFrame, schema_text: str, head: str = PROMPT_HEAD) -> DataFrame:
@@ -113,20 +114,22 @@ def rule_record(clean: Column, date: Column, as_of: str) -> Column:
     )
 
 
-def _guarded(extract_fn: Callable[[pd.Series], pd.Series]) -> Callable:
-    """``extract_fn`` whose failing rows give null instead of failing the job."""
+def _guarded(extract_fn: Callable[[pd.Series], pd.Series], batched: bool) -> Callable:
+    """``extract_fn`` with failures as texts; every text is sent exactly once.
 
-    def one(text):
-        try:
-            return extract_fn(pd.Series([text])).iloc[0]
-        except Exception:
-            return None
+    A failure concerns the texts of one call: a single text, or with ``batched`` a whole batch.
+    """
 
-    def run(texts: pd.Series) -> pd.Series:
+    def call(texts: pd.Series) -> pd.DataFrame:
         try:
-            return extract_fn(texts)
-        except Exception:
-            return texts.map(one)
+            return pd.DataFrame({"response": list(extract_fn(texts)), "error": None})
+        except Exception as error:
+            return pd.DataFrame({"response": None, "error": [f"{type(error).__name__}: {error}"] * len(texts)})
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        if batched or texts.empty:
+            return call(texts)
+        return pd.concat([call(pd.Series([t])) for t in texts], ignore_index=True)
 
     return run
 
@@ -136,11 +139,12 @@ def responses(
     text: str,
     extract_fn: Callable[[pd.Series], pd.Series] | None = None,
     as_of: str = "2024-01-01",
+    batched: bool = False,
 ) -> DataFrame:
-    """Add ``response``: the JSON record of each text.
+    """Add ``response``, the JSON record of each text, and ``error``, why there is none.
 
-    ``extract_fn`` maps a batch of texts (or prompts) to JSON texts, for instance by
-    calling a model. The default applies rules inside the JVM.
+    ``extract_fn`` maps texts (or prompts) to JSON texts, for instance by calling a model: one
+    text per call, or a whole batch with ``batched``. The default applies rules inside the JVM.
     """
     if extract_fn is None:
         date = F.regexp_extract(F.coalesce(F.col(text), F.lit("")), TEXT_DATE, 1)
@@ -148,8 +152,10 @@ def responses(
             {"_clean": normalise(F.col(text)), "_date": F.nullif(date, F.lit(""))}
         )
         record = rule_record(F.col("_clean"), F.col("_date"), as_of)
-        return prepared.withColumn("response", F.to_json(record)).drop("_clean", "_date")
-    return df.withColumn("response", F.pandas_udf(_guarded(extract_fn), T.StringType())(F.col(text)))
+        return prepared.withColumns({"response": F.to_json(record), "error": _none("string")}).drop("_clean", "_date")
+    answered = F.pandas_udf(_guarded(extract_fn, batched), "response string, error string")
+    held = df.withColumn("_answer", answered(F.col(text)))
+    return held.withColumns({"response": F.col("_answer.response"), "error": F.col("_answer.error")}).drop("_answer")
 
 
 def _blank_to(c: Column, default: Column) -> Column:
@@ -193,13 +199,14 @@ def impute_record(rec: str, key: str) -> Column:
 
 
 def split_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose response is a record, and the rejects.
+    """Rows whose response is a record, and the rejects with their ``error`` where a call failed.
 
     The responses are written first: both results read them, and no text is sent
     to the extraction function twice.
     """
     parsed = parse_records(stage(df, "responses"), "response", schemas.RECORD)
-    return parsed.filter("not is_bad").drop("is_bad"), parsed.filter("is_bad").drop("is_bad", "rec")
+    good = parsed.filter("not is_bad").drop("is_bad", "error")
+    return good, parsed.filter("is_bad").drop("is_bad", "rec")
 
 
 def records_from(good: DataFrame, first: int = FIRST_OUTPUT) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardstar.session import plan_bytes
 
-# A key is hot when it holds at least 1/HOT_DIVISOR of the rows, so there are
-# never more than HOT_DIVISOR hot keys: that is the bound of the broadcast below.
-HOT_DIVISOR = 1000
-SALTS = 64
-NULL_SALTS = 1024
+# A key with more rows than this is cut into pieces of about this size. In tables so large
+# that more than HOT_KEYS keys could be hot, pieces are 1/HOT_KEYS of the table instead, which
+# bounds the broadcast of the hot keys.
+PIECE_ROWS = 1_000_000
+HOT_KEYS = 100_000
 
 _SALT = "_join_salt"
-_HOT = "_join_hot"
+_PIECES = "_join_pieces"
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -36,11 +36,15 @@ def spread_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in chosen])
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys that hold at least 1/HOT_DIVISOR of the rows (at most HOT_DIVISOR of them)."""
+def hot_keys(df: DataFrame, on: list[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Keys with more rows than one piece should have, and the number of their pieces.
+
+    At most HOT_KEYS keys, whatever the size of the table.
+    """
     counts = df.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.filter(F.col("_n") * HOT_DIVISOR >= total.scalar()).select(*on)
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    piece = F.greatest(F.lit(piece_rows).cast("bigint"), F.ceil(total / HOT_KEYS))
+    return counts.filter(F.col("_n") > piece).select(*on, F.ceil(F.col("_n") / piece).alias(_PIECES))
 
 
 def lookup_join(
@@ -54,9 +58,9 @@ def lookup_join(
     """``facts`` joined to ``dim`` with equal names ``on`` (``how``: inner or left).
 
     A side that the planner can broadcast needs no shuffle, so no key is hot.
-    Beyond that limit, rows of ``facts`` with a hot key or a null key are spread
-    over salts, and the few ``dim`` rows of hot keys are repeated once per salt.
-    Hot keys are counted in ``keys_from``, by default ``facts``: in a chain of joins,
+    Beyond that limit, a key with many rows is cut into pieces by the number of its rows, and
+    its few ``dim`` rows are repeated once per piece; rows with a null key, which match nothing,
+    are spread by a hash of the row. Hot keys are counted in ``keys_from``, by default ``facts``: in a chain of joins,
     pass the stored table at its start, so that counting reads one column of it.
     """
     keys = [on] if isinstance(on, str) else list(on)
@@ -65,18 +69,18 @@ def lookup_join(
     if fits_broadcast(dim):
         return facts.join(dim, keys, how)
 
-    hot = hot_keys(facts if keys_from is None else keys_from, keys).withColumn(_HOT, F.lit(True))
+    hot = hot_keys(facts if keys_from is None else keys_from, keys, PIECE_ROWS)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     row_hash = spread_hash(facts, spread)
     salted_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(
         _SALT,
-        F.when(any_null, F.pmod(row_hash, F.lit(NULL_SALTS)))
-        .when(F.col(_HOT), F.pmod(row_hash, F.lit(SALTS)))
+        F.when(any_null, row_hash)
+        .when(F.col(_PIECES).isNotNull(), F.pmod(row_hash, F.col(_PIECES)))
         .otherwise(F.lit(0).cast("bigint")),
-    ).drop(_HOT)
-    zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
-    copies = F.when(F.col(_HOT), F.sequence(zero, last)).otherwise(F.array(zero))
+    ).drop(_PIECES)
+    zero = F.lit(0).cast("bigint")
+    copies = F.when(F.col(_PIECES).isNotNull(), F.sequence(zero, F.col(_PIECES) - 1)).otherwise(F.array(zero))
     salted_dim = (
-        dim.join(F.broadcast(hot), keys, "left").withColumn(_SALT, F.explode(copies)).drop(_HOT)
+        dim.join(F.broadcast(hot), keys, "left").withColumn(_SALT, F.explode(copies)).drop(_PIECES)
     )
     return salted_facts.join(salted_dim, [*keys, _SALT], how).drop(_SALT)

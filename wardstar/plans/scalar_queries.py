@@ -86,7 +86,7 @@ WHERE rank <= 3
 """)
 def topk_per_group(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    best = top_k(orders, ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3, spread=["o_orderkey"])
+    best = top_k(orders, ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3)
     return best.withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -144,7 +144,7 @@ def knn_filtered(spark: SparkSession, sf: str) -> DataFrame:
     queries = _centroids(spark, sf)
     pairs = table(spark, sf, "embeddings").join(queries, F.col("label") == F.col("query_id"))
     measured = pairs.select("query_id", "vec_id", squared_distance("embedding", "vector").alias("distance"))
-    best = top_k(measured, ["query_id"], [F.col("distance"), F.col("vec_id")], 150, spread=["vec_id"])
+    best = top_k(measured, ["query_id"], [F.col("distance"), F.col("vec_id")], 150)
     return best.select(
         F.col("query_id").cast("bigint").alias("query_id"), "vec_id",
         F.round("distance", 4).alias("distance"), F.col("rank").cast("bigint").alias("rank"))
@@ -205,7 +205,7 @@ def fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     pairs = spread(turns.filter("role = 'assistant'")).join(asked, ["conv_id", "turn"])
     score = fuzzy_score(F.col("query"), F.col("text"), retrieval.FUZZY_THRESHOLD)
     scored = pairs.select("conv_id", "turn", score.alias("score"))
-    ranked = top_k(scored, ["conv_id"], [F.desc("score"), F.col("turn")], retrieval.FUZZY_K, spread=["conv_id", "turn"])
+    ranked = top_k(scored, ["conv_id"], [F.desc("score"), F.col("turn")], retrieval.FUZZY_K)
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardstar.plans import warehouse
-from wardstar.session import spread, stage
+from wardstar.session import fresh_path, spread, stage
+from wardstar.sources import sinks
 
 EVENT_SOURCES = {
     "careplans": "click",
@@ -139,10 +140,11 @@ def clean_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of the cleaned star with their vectors."""
-    built = _stored(
-        spark, sf, "corpus", lambda: {"documents": warehouse.corpus_with_vectors(clean_star(spark, sf))}
-    )
-    return built["documents"]
+    def build() -> dict[str, DataFrame]:
+        made = warehouse.corpus_with_vectors(clean_star(spark, sf))
+        return {"documents": sinks.load_or_build_vectors(spark, fresh_path(spark, "corpus"), lambda: made)}
+
+    return _stored(spark, sf, "corpus", build, ("documents",))["documents"]
 
 
 # --- the same tables as SQL, for the comparison ---------------------------------

@@ -126,7 +126,7 @@ FROM clean c JOIN events e ON c.source_row_id = e.row_id
 """)
 def extract_records(spark: SparkSession, sf: str) -> DataFrame:
     """Notes to nested records: rules, parsing, provenance, numbering and imputed demographics."""
-    notes = extract.row_slice(_notes(spark, sf), ["o_orderkey"], 0, 1 << 40)
+    notes = extract.row_slice(_notes(spark, sf), ["o_orderkey"], 0, None)
     good, _ = extract.split_responses(extract.responses(spread(notes), "transcription"))
     records = extract.records_from(good)
     return records.select(
@@ -279,11 +279,11 @@ def provider_counts(spark: SparkSession, sf: str) -> DataFrame:
 ranked AS (SELECT *, row_number() OVER (PARTITION BY patient_key ORDER BY first) AS rn FROM firsts),
 cats AS (SELECT patient_key, string_agg(event_category, ', ' ORDER BY first) AS categories FROM ranked WHERE rn <= 10 GROUP BY 1),
 days AS (SELECT patient_key, string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates FROM (SELECT DISTINCT patient_key, date_key AS d FROM fact) GROUP BY 1)
-SELECT c.patient_key, categories, dates FROM cats c JOIN days d ON c.patient_key = d.patient_key
+SELECT patient_key, categories, dates FROM cats FULL JOIN days USING (patient_key)
 """)
 def category_list(spark: SparkSession, sf: str) -> DataFrame:
     """Event categories in order of first appearance, and the distinct dates, per patient."""
     facts = star(spark, sf)["fact_patient_events"]
     days = documents.date_lists(facts).select(
         "patient_key", F.array_join(F.transform("dates", lambda d: d.cast("string")), ",").alias("dates"))
-    return documents.category_lists(facts).join(days, "patient_key")
+    return documents.category_lists(facts).join(days, "patient_key", "full")

@@ -477,3 +477,61 @@ def star_sources_csv(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_star(loaded, stored, mode="append")
     back = tables.read_star(spark, stored)
     return _plain(back["fact_patient_events"].select(*schemas.STAR["fact_patient_events"].names))
+
+
+@query("WITH " + SQL_STAR + "," + RECORDS_SQL + """
+SELECT event_key, patient_key, provider_key, org_key, payer_key, event_category, CAST(date_key AS VARCHAR) AS date_key FROM fact
+UNION ALL
+SELECT (SELECT max(event_key) FROM fact) + row_number() OVER (ORDER BY n, pos), (SELECT max(patient_key) FROM dim_patient) + n,
+  (SELECT max(provider_key) FROM dim_provider) + n, (SELECT max(org_key) FROM dim_org) + n, (SELECT max(payer_key) FROM dim_payer) + n,
+  event_category, CAST(date_key AS VARCHAR) FROM ev
+""")
+def merged_star(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of a star loaded from tables and of records flattened into it; keys go on after the stored ones."""
+    parsed = tables.parse_records(_records(spark, sf), "json").select("record_id", "rec")
+    merged = warehouse.merge_star(star(spark, sf), parsed)
+    columns = ["event_key", "patient_key", "provider_key", "org_key", "payer_key", "event_category", "date_key"]
+    return _plain(merged["fact_patient_events"].select(*columns))
+
+
+@query("WITH " + SQL_CLEAN + """
+SELECT 'organization' AS dimension, org_key AS key, name, city AS place FROM c_org
+UNION ALL SELECT 'provider', provider_key, name, specialty FROM c_provider
+""")
+def extract_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimensions exported as quoted CSV and read back as warehouse extracts."""
+    folder = fresh_path(spark, "extracts")
+    cleaned = clean_star(spark, sf)
+    for name in ("dim_organization", "dim_provider"):
+        sinks.export_csv(cleaned[name], f"{folder}/{name}.csv")
+    organizations = tables.read_extract(spark, folder, "dim_organization")
+    providers = tables.read_extract(spark, folder, "dim_provider")
+    return organizations.select(
+        F.lit("organization").alias("dimension"), F.col("org_key").alias("key"), "name", F.col("city").alias("place")
+    ).unionByName(
+        providers.select(
+            F.lit("provider").alias("dimension"), F.col("provider_key").alias("key"), "name", F.col("specialty").alias("place")
+        )
+    )
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS record_id, c_name AS full_name, n_name AS city, c_mktsegment AS payer
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def record_map_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Records kept as JSON objects by id, a few hundred to a file, and read back one row per id."""
+    people = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    record = F.struct(
+        F.struct(F.col("c_name").alias("full_name"), F.col("n_name").alias("city")).alias("dim_patient"),
+        F.struct(F.col("c_mktsegment").alias("name")).alias("dim_payer"),
+    )
+    entry = F.struct(F.col("c_custkey").cast("string").alias("key"), record.alias("value"))
+    objects = people.groupBy(F.floor(F.col("c_custkey") / 500).alias("part")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
+    )
+    path = fresh_path(spark, "record-map")
+    objects.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return tables.read_record_map(spark, path).select(
+        "record_id", "rec.dim_patient.full_name", "rec.dim_patient.city", F.col("rec.dim_payer.name").alias("payer")
+    )

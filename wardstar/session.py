@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,10 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Inputs below both bounds are spread over the cores by :func:`spread`.
-SMALL_SPLIT = 32 << 20
-SMALL_INPUT = 1 << 30
-
 _local_dirs: dict[str, str] = {}
 
 
@@ -56,11 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="wardstar-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application in the shared folder: all staged tables go there."""
+    return f"{shared_dir(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; call it when their results were read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -84,12 +93,7 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, before costly work per row.
-
-    Small files come in fewer splits than there are cores. Anything larger has
-    enough splits and is left as it is.
-    """
+    """Rows of a scan that has fewer parts than there are cores over all cores, before costly work per row."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) < min(cores * SMALL_SPLIT, SMALL_INPUT):
-        return df.repartition(cores)
-    return df
+    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if parts < cores else df

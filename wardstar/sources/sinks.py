@@ -13,7 +13,8 @@ FACT_PARTITION = "event_year"
 
 
 def _fact_layout(df: DataFrame) -> DataFrame:
-    return df.withColumn(FACT_PARTITION, F.year("date_key"))
+    """Rows of a year together, large years in several parts: few files per year, of bounded size."""
+    return df.withColumn(FACT_PARTITION, F.year("date_key")).hint("rebalance", FACT_PARTITION)
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -58,7 +59,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_vectors(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Documents with their vectors, split by document type."""
-    corpus.write.mode(mode).partitionBy("type").parquet(path)
+    corpus.hint("rebalance", "type").write.mode(mode).partitionBy("type").parquet(path)
 
 
 def load_or_build_vectors(
