@@ -316,7 +316,6 @@ def build_diagnostics(star: dict[str, DataFrame], corpus: DataFrame) -> DataFram
         "Total providers": "dim_provider",
         "Total organizations": "dim_organization",
         "Total payers": "dim_payer",
-        "Total events": "fact_patient_events",
     }
     parts = [
         star[t].agg(F.lit(n).alias("metric"), F.count(F.lit(1)).alias("n")) for n, t in sizes.items()
@@ -328,9 +327,16 @@ def build_diagnostics(star: dict[str, DataFrame], corpus: DataFrame) -> DataFram
         "organization": "Organizations with events",
         "payer": "Payers with events",
     }
-    facts = star["fact_patient_events"]
-    parts += [
-        facts.agg(F.lit(label).alias("metric"), F.count_distinct(ACTOR_KEYS[actor]).alias("n"))
-        for actor, label in labels.items()
-    ]
+    # One scan of the facts: events per (kind of actor, actor) first, then events and actors per kind.
+    named = F.array(*[F.struct(F.lit(a).alias("actor"), F.col(ACTOR_KEYS[a]).alias("key")) for a in labels])
+    total = F.struct(F.lit("event").alias("actor"), F.lit(None).cast("bigint").alias("key"))
+    each = star["fact_patient_events"].select(F.inline(F.concat(named, F.array(total))))
+    counted = each.groupBy("actor", "key").agg(F.count(F.lit(1)).alias("events"))
+    kinds = counted.groupBy("actor").agg(F.sum("events").alias("events"), F.count("key").alias("actors"))
+    wanted = star["dim_payer"].sparkSession.createDataFrame(
+        [*((a, label) for a, label in labels.items()), ("event", "Total events")], "actor string, metric string"
+    )
+    found = wanted.join(kinds, "actor", "left")
+    number = F.when(F.col("actor") == "event", F.col("events")).otherwise(F.col("actors"))
+    parts.append(found.select("metric", F.coalesce(number, F.lit(0)).alias("n")))
     return reduce(lambda a, b: a.unionByName(b), parts)

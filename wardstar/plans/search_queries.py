@@ -150,7 +150,24 @@ def knn_filtered(spark: SparkSession, sf: str) -> DataFrame:
         F.round("distance", 4).alias("distance"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query()
+@query("WITH RECURSIVE " + CENTROID_SQL + """,
+centre AS (SELECT label AS query_id, list(m ORDER BY i) AS c FROM mean GROUP BY 1),
+near AS (
+  SELECT query_id, vec_id, v, c, row_number() OVER (PARTITION BY query_id ORDER BY list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), vec_id) AS rank
+  FROM vec, centre),
+cand AS (SELECT *, list_cosine_similarity(v, c) AS rel FROM near WHERE rank <= 150),
+sim AS (
+  SELECT a.query_id, a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS s
+  FROM cand a JOIN cand b ON a.query_id = b.query_id),
+state AS (
+  SELECT query_id, vec_id, rank, rel, -1e9::DOUBLE AS closest, rel AS score, CAST(NULL AS BIGINT) AS picked, 0::BIGINT AS step FROM cand
+  UNION ALL
+  SELECT w.query_id, w.vec_id, w.rank, w.rel, greatest(w.closest, s.s), 0.5 * w.rel - 0.5 * greatest(w.closest, s.s),
+         CASE WHEN w.vec_id = w.pick THEN w.step + 1 ELSE w.picked END, w.step + 1
+  FROM (SELECT *, first_value(vec_id) OVER (PARTITION BY query_id ORDER BY picked IS NOT NULL, score DESC, rank) AS pick
+        FROM state WHERE step < 50) w JOIN sim s ON s.query_id = w.query_id AND s.a = w.vec_id AND s.b = w.pick)
+SELECT CAST(query_id AS BIGINT) AS query_id, vec_id, picked AS rank FROM state WHERE step = 50 AND picked IS NOT NULL
+""")
 def mmr(spark: SparkSession, sf: str) -> DataFrame:
     """50 diverse vectors out of the 150 nearest to each label's mean."""
     queries = _centroids(spark, sf)
@@ -187,13 +204,15 @@ def keyword_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH " + SQL_CORPUS + """
 , q AS (SELECT 'provider' AS actor_type, CAST(provider_key AS VARCHAR) AS actor_id FROM c_provider
-        UNION ALL SELECT 'payer', CAST(payer_key AS VARCHAR) FROM c_payer)
+        UNION ALL SELECT 'payer', CAST(payer_key AS VARCHAR) FROM c_payer
+        UNION ALL SELECT 'patient', CAST(patient_key AS VARCHAR) FROM c_patient
+        UNION ALL SELECT 'organization', CAST(org_key AS VARCHAR) FROM c_org)
 SELECT n.actor_type || ':' || n.actor_id AS query_id, doc_id, 1::BIGINT AS rank FROM named n JOIN q USING (actor_type, actor_id)
 WHERE type = n.actor_type || '_profile'
 """)
 def profile_match(spark: SparkSession, sf: str) -> DataFrame:
     """The profiles of every actor that is asked about."""
-    asked = with_actor(_actor_questions(spark, sf))
+    asked = with_actor(_actor_questions(spark, sf, tuple(ACTOR_QUESTIONS)))
     return retrieval.profile_match(corpus(spark, sf), asked).withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -209,16 +228,27 @@ def fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def _actor_questions(spark: SparkSession, sf: str) -> DataFrame:
-    """A question about every provider and payer of the cleaned star."""
-    t = clean_star(spark, sf)
-    return t["dim_provider"].select(
-        F.concat_ws(":", F.lit("provider"), "provider_key").alias("query_id"),
-        F.concat_ws(" ", F.lit("Tell me about provider"), "provider_key").alias("query"),
-    ).unionByName(t["dim_payer"].select(
-        F.concat_ws(":", F.lit("payer"), "payer_key").alias("query_id"),
-        F.concat(F.lit("Who is covered by payer "), F.col("payer_key").cast("string"), F.lit("?")).alias("query"),
-    ))
+# Table, key and question of each kind of actor.
+ACTOR_QUESTIONS = {
+    "provider": ("dim_provider", "provider_key", "Tell me about provider %s"),
+    "payer": ("dim_payer", "payer_key", "Who is covered by payer %s?"),
+    "patient": ("dim_patient", "patient_key", "What do you know of patient %s?"),
+    "organization": ("dim_organization", "org_key", "Describe organization %s"),
+}
+
+
+def _actor_questions(spark: SparkSession, sf: str, kinds: tuple[str, ...] = ("provider", "payer")) -> DataFrame:
+    """A question about every actor of these kinds in the cleaned star."""
+    tables = clean_star(spark, sf)
+    parts = []
+    for kind in kinds:
+        name, key, text = ACTOR_QUESTIONS[kind]
+        parts.append(
+            tables[name].select(
+                F.concat_ws(":", F.lit(kind), key).alias("query_id"), F.format_string(text, F.col(key).cast("string")).alias("query")
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _all_questions(spark: SparkSession, sf: str) -> DataFrame:
