@@ -2,7 +2,7 @@
 
 The index is a stored table of postings. It is cut by documents into segments of a bounded
 number of words; a row holds one term of one segment with all its positions, counted through
-the segment with one free place after each document, so that no phrase runs across documents.
+the segment with GAP free places after each document, so that no match runs across documents.
 A row without a term is the directory of its segment: documents and where they begin.
 
 A search takes from the index only rows of the searched terms. In each segment, every window of
@@ -28,6 +28,8 @@ from wardstar.session import stage
 
 WINDOW = 10
 SLOP = 4
+# Free places between documents: the widest span that a proximity search may ask for.
+GAP = 64
 SEGMENT_WORDS = 1 << 20
 QUERY_BLOCK_WORDS = 1 << 20
 
@@ -47,9 +49,9 @@ def _loaded_ids(data: bytes) -> pd.array:
 
 
 def _segment_rows(segment: int, known: dict, numbers: list, ids: list, lengths: list) -> Iterator[pa.RecordBatch]:
-    bases = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + 1)])
+    bases = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + GAP)])
     everything = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-    place = np.arange(len(everything)) + np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(everything)) + GAP * np.repeat(np.arange(len(lengths)), lengths)
     order = np.argsort(everything, kind="stable")
     counts = np.bincount(everything, minlength=len(known))
     positions = place[order].astype("<i4")
@@ -100,7 +102,7 @@ def _index(segment_words: int):
                 )
                 ids.append(doc_id)
                 lengths.append(len(words))
-                held += len(words) + 1
+                held += len(words) + GAP
                 if held >= segment_words:
                     yield from _segment_rows(segment, known, numbers, ids, lengths)
                     segment += 1
@@ -231,7 +233,7 @@ def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
                 "segment": np.full(n_docs, key[0]),
                 "ordinal": np.arange(n_docs, dtype=np.int32),
                 "doc_id": _loaded_ids(directory["doc_ids"]),
-                "n_words": np.diff(bases) - 1,
+                "n_words": np.diff(bases) - GAP,
                 "spans": [spans.get(d, []) for d in range(n_docs)],
                 "items": [sorted(found.get(d, ())) for d in range(n_docs)],
                 "near_items": [sorted(near.get(d, ())) for d in range(n_docs)],
@@ -275,6 +277,8 @@ def search(
     The benchmark is the query set: it is taken in blocks of bounded size, each sent to the
     tasks once and run against the whole index.
     """
+    if size + slop > GAP:
+        raise ValueError(f"size + slop must not exceed {GAP}")
     spark = index.sparkSession
     parts = []
     for block in _item_blocks(benchmark, item_id, text, block_words):

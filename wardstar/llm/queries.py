@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstar.llm import chat, decontamination, jaccard, mixing, packing, pii, quality_classifier, quality_rules, toxicity, warc
+from wardstar.llm.sql import SQL as SQL
 from wardstar.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -78,28 +78,6 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
 
-# base32 of the SHA-1: eight groups of five hex digits give four letters each.
-SQL["op5_warc"] = """
-WITH p AS (
-  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
-), d AS (
-  SELECT page_id, strlen(html) AS payload_bytes, hex,
-         array_to_string([
-           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                  1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER),
-                  1) for i in range(32)], '') AS payload_digest
-  FROM p
-), f AS (
-  SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first_page FROM d
-)
-SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to,
-       CAST(NULL AS VARCHAR) AS problem
-FROM f
-"""
-
-
 @query
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
