@@ -23,6 +23,7 @@ component already.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardstar.llm.components import components
-from wardstar.llm.words import split_words
+from wardstar.llm.words import BLANKS, raw
 from wardstar.operators.joins import lookup_join
 from wardstar.session import stage
 
@@ -58,33 +59,76 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
+# Words are hashed as sums of byte values times powers, all words of a text at once.
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_BASE = int(_MIX2)
+_BLANK = np.zeros(256, bool)
+_BLANK[list(BLANKS)] = True
+PIECE_BYTES = 1 << 18
+
+
 class Shingler:
-    """Sorted distinct 64-bit hashes of the word n-grams of a text."""
+    """Sorted distinct 64-bit hashes of the word n-grams of a text.
+
+    The hash of a word is the sum of _VALUES[byte] * _BASE ** place over its bytes, taken from one
+    running sum over the text by dividing by the power of the word's place, then scrambled together
+    with its length. Long texts go in pieces that end between words.
+    """
 
     def __init__(self, size: int = SHINGLE):
         self.size = size
-        self.known: dict[bytes, int] = {}
+        self.powers = np.ones(1, np.uint64)
+        self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) < n:
+            n = 1 << n.bit_length()
+            step = np.full(n, _BASE, np.uint64)
+            back = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+            step[0] = back[0] = 1
+            self.powers, self.inverse = np.cumprod(step), np.cumprod(back)
+
+    def words(self, data: bytes) -> np.ndarray:
+        """A hash of each word."""
+        out, at = [], 0
+        codes = np.frombuffer(data, np.uint8)
+        while at < len(codes):
+            to = at + PIECE_BYTES
+            if to < len(codes):
+                gap = np.flatnonzero(_BLANK[codes[to : to + PIECE_BYTES]])
+                while not len(gap) and to < len(codes):
+                    to += PIECE_BYTES
+                    gap = np.flatnonzero(_BLANK[codes[to : to + PIECE_BYTES]])
+                to += int(gap[0]) if len(gap) else 0
+            out.append(self._piece(codes[at:to]))
+            at = to
+        return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+    def _piece(self, codes: np.ndarray) -> np.ndarray:
+        self._grow(len(codes))
+        inside = np.zeros(len(codes) + 2, np.int8)
+        np.logical_not(_BLANK[codes], out=inside[1:-1].view(bool))
+        change = np.diff(inside)
+        starts, ends = np.flatnonzero(change > 0), np.flatnonzero(change < 0)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_VALUES[codes] * self.powers[: len(codes)], out=sums[1:])
+        words = (sums[ends] - sums[starts]) * self.inverse[starts]
+        return mixed(words + (ends - starts).astype(np.uint64) * _ODD)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = split_words(text, lower=True)
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        try:
-            hashes = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            hashes = [known[w] for w in words]
-        h = np.array(hashes, np.uint64)
+        h = self.words(raw(text).lower())
+        if not len(h):
+            return h
         size = min(self.size, len(h))
         grams = np.full(len(h) - size + 1, size, np.uint64)
         for i in range(size):
-            grams = grams * _ODD + h[i : len(h) - size + 1 + i]
-        return np.unique(mixed(grams))
+            grams *= _ODD
+            grams += h[i : len(h) - size + 1 + i]
+        grams = mixed(grams)
+        grams.sort()
+        fresh = np.ones(len(grams), bool)
+        np.not_equal(grams[1:], grams[:-1], out=fresh[1:])
+        return grams[fresh]
 
 
 def far(a: int | np.ndarray, b: int | np.ndarray, percent: int = PERCENT) -> int | np.ndarray:
@@ -121,6 +165,7 @@ class Bands:
         self.percent = percent
         self.lower = [1]
         self.ratio = ratio
+        self.cut: dict[int, np.ndarray] = {}
 
     def upper(self, band: int) -> int:
         while len(self.lower) < band + 2:
@@ -129,13 +174,19 @@ class Bands:
         return self.lower[band + 1] - 1
 
     def of(self, size: int) -> list[int]:
-        band = 0
-        while self.upper(band) < size:
-            band += 1
+        while self.lower[-1] <= size:
+            self.upper(len(self.lower) - 1)
+        band = bisect_right(self.lower, size) - 1
         # the largest set that may link with this one
         most = size * 100 // self.percent
         return [b for b in ([band, band + 1] if most > self.upper(band) else [band]) if self.distance(b)]
 
+    def edges(self, cells: int) -> np.ndarray:
+        """Where the hash range is cut into ``cells`` equal parts."""
+        if cells not in self.cut:
+            self.cut[cells] = (np.arange(1, cells, dtype=np.float64) * (2.0**64 / cells)).astype(np.uint64)
+        return self.cut[cells]
+
     def distance(self, band: int) -> int:
         return int(far(self.upper(band), self.upper(band), self.percent))
 
@@ -146,7 +197,7 @@ def signatures(grams: np.ndarray, bands: Bands, cells: int = CELLS) -> np.ndarra
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams + _ODD), dtype=np.uint64)])
     for band in bands.of(len(grams)):
         parts = bands.distance(band) // 2 + 1
-        edges = (np.arange(1, parts * cells, dtype=np.float64) * (2.0**64 / (parts * cells))).astype(np.uint64)
+        edges = bands.edges(parts * cells)
         bounds = np.concatenate([[0], np.searchsorted(grams, edges), [len(grams)]])
         cell = (sums[bounds[1:]] - sums[bounds[:-1]]).reshape(parts, cells)
         rest = cell.sum(axis=1, keepdims=True, dtype=np.uint64) - cell
@@ -295,46 +346,87 @@ def _possible(percent: int):
     return possible
 
 
+JOIN_SCHEMA = "a bigint, b bigint, sig bigint, low int, high int, more boolean"
+
+
 def _joining(percent: int, closest: bool):
-    """Pairs of one block that may link and join different components.
+    """Pairs that may link and join different components, from rows sorted by block.
 
-    ``closest``: only as many as could join all components of the block, closest pairs first.
-    Otherwise all of them.
+    ``closest``: of each block only as many as could join all its components, closest first;
+    ``more`` tells whether there are others. Otherwise all of them.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        bits = _stacked(rows["sketch"].tolist())
-        n, label, node = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["node"].to_numpy()
-        side = rows["side"].to_numpy()
-        found = []
-        for i in range(len(rows) - 1):
-            apart = np.bitwise_count(bits[i + 1 :] ^ bits[i]).sum(axis=1)
-            other = n[i + 1 :]
-            good = (apart <= far(n[i], other, percent)) & (label[i + 1 :] != label[i])
-            good &= 100 * np.minimum(n[i], other) >= percent * np.maximum(n[i], other)
-            if side[i] >= 0:  # two blocks of one group: their own pairs are another block's
-                good &= side[i + 1 :] != side[i]
-            at = np.flatnonzero(good)
-            found.append(np.stack([np.full(len(at), i), at + i + 1, apart[at]], 1))
-        pairs = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-        if closest:
-            pairs = _forest(pairs[np.argsort(pairs[:, 2], kind="stable")], label)
-        a, b = node[pairs[:, 0].astype(np.int64)], node[pairs[:, 1].astype(np.int64)]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = [table.column(c).to_numpy() for c in ("sig", "low", "high")]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            held = table.slice(int(starts[-1]))
+            yield from _block_pairs(table.slice(0, int(starts[-1])), starts, percent, closest)
+        if held is not None:
+            yield from _block_pairs(held, np.zeros(1, np.int64), percent, closest)
 
     return run
 
 
+def _block_pairs(table: pa.Table, starts: np.ndarray, percent: int, closest: bool) -> Iterator[pa.RecordBatch]:
+    if not table.num_rows:
+        return
+    sig, low, high, side, node, n, label = (
+        table.column(c).to_numpy() for c in ("sig", "low", "high", "side", "node", "n", "label")
+    )
+    sketches = table.column("sketch").to_pylist()
+    starts = starts[starts < len(sig)]
+    out: list[tuple] = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(sig)], strict=True):
+        own = label[a:b]
+        if b - a < 2 or (own == own[0]).all():
+            continue
+        pairs = _close_pairs(_stacked(sketches[a:b]), n[a:b], own, side[a:b], percent)
+        chosen = _forest(pairs[np.argsort(pairs[:, 2], kind="stable")], own) if closest and len(pairs) else pairs
+        more = len(chosen) < len(pairs)
+        for i, j, _ in chosen.tolist():
+            x, y = int(node[a + i]), int(node[a + j])
+            out.append((min(x, y), max(x, y), int(sig[a]), int(low[a]), int(high[a]), more))
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+    columns = zip(*out, strict=True) if out else [[]] * len(types)
+    names = ["a", "b", "sig", "low", "high", "more"]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def _close_pairs(bits: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """(i, j, differing bits) of the rows of one block that may link across components."""
+    found = []
+    step = max(1, (1 << 20) // bits.size)
+    for at in range(0, len(n) - 1, step):
+        rows = slice(at, min(at + step, len(n) - 1))
+        apart = np.bitwise_count(bits[rows, None] ^ bits[None, at:]).sum(axis=2, dtype=np.int64)
+        a, b = n[rows, None], n[None, at:]
+        good = (apart <= far(a, b, percent)) & (label[rows, None] != label[None, at:])
+        good &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        if side[0] >= 0:  # two parts of one group: the pairs within a part are another block's
+            good &= side[rows, None] != side[None, at:]
+        i, j = np.nonzero(np.triu(good, 1))
+        found.append(np.stack([i + at, j + at, apart[i, j]], 1))
+    return np.concatenate(found)
+
+
 def _forest(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Of sorted pairs, those that join components not joined by earlier ones."""
     above: dict[int, int] = {}
 
     def root(x: int) -> int:
-        while x in above:
-            x = above[x]
-        return x
+        top = x
+        while (up := above.get(top, top)) != top:
+            top = up
+        while x != top:
+            above[x], x = top, above.get(x, top)
+        return top
 
     kept = []
-    for row, (i, j) in enumerate(zip(label[pairs[:, 0].astype(np.int64)].tolist(), label[pairs[:, 1].astype(np.int64)].tolist(), strict=True)):
+    for row, (i, j) in enumerate(zip(label[pairs[:, 0]].tolist(), label[pairs[:, 1]].tolist(), strict=True)):
         x, y = root(i), root(j)
         if x != y:
             above[x] = y
@@ -343,27 +435,41 @@ def _forest(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(T.BooleanType())
-def _links(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
+def _links(ones: pd.Series, others: pd.Series, percent: pd.Series) -> pd.Series:
+    """Whether a set of one side links with a set of the other."""
     out = []
-    for x, y, p in zip(a, b, percent, strict=True):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-        out.append(100 * both >= p * (len(x) + len(y) - both))
+    for xs, ys, p in zip(ones, others, percent, strict=True):
+        sets = [[np.frombuffer(g, np.uint64) for g in side] for side in (xs, ys)]
+        out.append(any(_similar(x, y, p) for x in sets[0] for y in sets[1]))
     return pd.Series(out, dtype=bool)
 
 
-def _verified(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets link."""
-    one = pairs.join(grams.select(F.col("k").alias("a"), F.col("grams").alias("x")), "a")
-    two = one.join(grams.select(F.col("k").alias("b"), F.col("grams").alias("y")), "b")
-    return two.filter(_links("x", "y", F.lit(percent))).select("a", "b")
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if not len(x) or not len(y):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The (stored) pairs whose sets link; sets are made for their texts only."""
+    ends = pairs.select(F.col("a").alias("k"), "a", "b").unionByName(pairs.select(F.col("b").alias("k"), "a", "b"))
+    needed = stage(ends.select("k").distinct(), "gram-needed")
+    texts = rows.join(needed, "k", "left_semi")
+    grams = stage(texts.mapInArrow(_gram_bytes(size), "k bigint, grams binary"), "grams")
+    sides = grams.join(ends, "k").groupBy("a", "b").agg(
+        F.collect_list(F.when(F.col("k") == F.col("a"), F.col("grams"))).alias("x"),
+        F.collect_list(F.when(F.col("k") == F.col("b"), F.col("grams"))).alias("y"),
+    )
+    return sides.filter(_links("x", "y", F.lit(percent))).select("a", "b")
+
+
+KEYS = ["sig", "low", "high"]
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Members with the blocks they are compared in: every two members of a group meet once.
+    """Members (sig, node) with the blocks they are compared in: every two of a group meet once.
 
     A group of more than BLOCK members is cut into parts, and every two parts are a block.
     """
@@ -377,21 +483,27 @@ def _blocks(members: DataFrame) -> DataFrame:
     )
     each = cut.withColumn("block", F.explode(met))
     side = F.when(F.col("block.low") == F.col("block.high"), -1).otherwise(F.col("part"))
-    return each.select("sig", "block.low", "block.high", side.alias("side"), "node", "n", "sketch")
+    return each.select("sig", "block.low", "block.high", side.alias("side"), "node")
 
 
-def _candidates(blocks: DataFrame, labels: DataFrame | None, percent: int, closest: bool) -> DataFrame:
-    """Pairs to verify in blocks that still hold more than one component."""
+def _candidates(blocks: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int, closest: bool) -> DataFrame:
+    """Rows of JOIN_SCHEMA for blocks that hold more than one component."""
     if labels is None:
         held = blocks.withColumn("label", F.col("node"))
     else:
-        held = lookup_join(blocks, labels.select(F.col("node"), F.col("component")), "node", "left")
+        held = lookup_join(blocks, labels.select("node", "component"), "node", "left")
         held = held.withColumn("label", F.coalesce("component", "node")).drop("component")
-    keys = ["sig", "low", "high"]
-    open_ = held.groupBy(*keys).agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
-    open_ = open_.filter("l1 <> l2").select(*keys)
-    rows = held.join(open_, keys, "left_semi")
-    return rows.groupBy(*keys).applyInPandas(_joining(percent, closest), "a bigint, b bigint").distinct()
+    ordered = lookup_join(held, nodes, "node", "inner").repartition(*KEYS).sortWithinPartitions(*KEYS)
+    return ordered.mapInArrow(_joining(percent, closest), JOIN_SCHEMA)
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    for side in ("a", "b"):
+        named = labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_label"))
+        pairs = lookup_join(pairs, named, side, "left")
+    ends = [F.coalesce(f"{side}_label", side) for side in ("a", "b")]
+    return pairs.filter(ends[0] != ends[1]).select("a", "b")
 
 
 def classes(
@@ -419,10 +531,14 @@ def classes(
         ),
         "gram-classes",
     )
-    # Small sets only have equal sets to link with.
-    first = next(n for n in range(1, 1000) if far(n, n * 100 // percent, percent))
-    reps = alike.filter(F.col("n") >= first).select(F.col("rep").alias("k"))
-    signed = rows.join(reps, "k", "left_semi").mapInArrow(_sign(size, percent, cells), "sig bigint, node bigint")
+    # Only one text of each class signs. The others are named, as they are fewer; texts of small
+    # sets, which only have equal sets to link with, have no signatures.
+    several = stage(alike.filter("rep <> last").select(*own, "rep"), "gram-copies")
+    copies = lookup_join(known.select("k", *own), several, own, "inner", spread=["k"])
+    named = copies.filter("k <> rep").select("k").distinct()
+    others = stage(named.join(alike.select(F.col("rep").alias("k")), "k", "left_anti"), "gram-others")
+    texts = rows.filter("k is not null").join(others, "k", "left_anti")
+    signed = texts.mapInArrow(_sign(size, percent, cells), "sig bigint, node bigint")
     ordered = signed.repartition("sig").sortWithinPartitions("sig")
     groups = stage(ordered.mapInArrow(_groups, GROUP_SCHEMA), "gram-groups")
 
@@ -434,27 +550,35 @@ def classes(
 
     large = groups.filter("sig is not null").select(F.col("a").alias("node"), "sig", "members")
     chosen = large.groupBy("members").agg(F.min("sig").alias("sig"))
-    members = lookup_join(large.join(chosen, ["members", "sig"], "left_semi").select("sig", "node"), nodes, "node", "inner")
+    members = large.join(chosen, ["members", "sig"], "left_semi").select("sig", "node")
     blocks = stage(_blocks(members), "gram-blocks")
 
-    tested = stage(close.unionByName(_candidates(blocks, None, percent, True)).distinct(), "gram-pairs")
-    needed = tested.select(F.col("a").alias("k")).unionByName(tested.select(F.col("b").alias("k")))
-    needed = needed.unionByName(blocks.select(F.col("node").alias("k"))).distinct()
-    grams = stage(rows.join(needed, "k", "left_semi").mapInArrow(_gram_bytes(size), "k bigint, grams binary"), "grams")
+    made = stage(_candidates(blocks, nodes, None, percent, True), "gram-candidates")
+    tested = stage(close.unionByName(made.select("a", "b")).distinct(), "gram-pairs")
 
     # an id with several sets ties their classes
-    several = known.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k")
-    tied = known.join(several, "k", "left_semi").join(alike.select(*own, "rep"), own).select(F.col("k").alias("a"), F.col("rep").alias("b"))
-    links = stage(_verified(tested, grams, percent).unionByName(tied), "gram-links")
+    twice = known.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k")
+    tied = known.join(twice, "k", "left_semi").join(alike.select(*own, "rep"), own)
+    tied = tied.select(F.col("k").alias("a"), F.col("rep").alias("b"))
+    links = stage(_verified(tested, rows, size, percent).unionByName(tied), "gram-links")
     labels = components(links)
     for closest in (True, False):
-        fresh = _candidates(blocks, labels, percent, closest).join(tested, ["a", "b"], "left_anti")
-        more = stage(fresh, "gram-pairs")
+        # Pairs of a block join what its chosen pairs join. So a block has to be looked at again
+        # only if it has further pairs and one of the chosen did not tie its ends.
+        failed = stage(_apart(tested, labels), "gram-failed")
+        again = made.filter("more").join(failed, ["a", "b"], "left_semi").select(*KEYS).distinct()
+        open_ = stage(blocks.join(stage(again, "gram-again"), KEYS, "left_semi"), "gram-open")
+        if open_.isEmpty():
+            break
+        made = stage(_candidates(open_, nodes, labels, percent, closest), "gram-candidates")
+        more = stage(made.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "gram-pairs")
+        tested = stage(tested.unionByName(more), "gram-tested")
         if more.isEmpty():
             continue
-        tested = tested.unionByName(more)
-        links = links.unionByName(stage(_verified(more, grams, percent), "gram-links"))
-        labels = components(links)
+        found = stage(_verified(more, rows, size, percent), "gram-links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
     label = alike.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
     label = label.withColumn("component", F.coalesce("component", "rep")).filter("rep <> last or component <> rep")
     placed = lookup_join(sets.drop("sketch"), stage(label.select(*own, "component"), "gram-labels"), own, "left", spread=["k"])
