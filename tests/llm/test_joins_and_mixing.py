@@ -48,6 +48,9 @@ def texts():
 def test_classes(spark, texts, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = [*texts, (703, None), (0, texts[0][1]), (None, "a b c"), (None, None)]
+    by_id = dict(texts)
+    # one id with texts of two families, another with a text of its own and a copy
+    rows += [(400, by_id[300]), (2, by_id[800]), (900, by_id[710] + " x"), (900, by_id[205])]
     found = jaccard.classes(table(spark, rows).repartition(7)).collect()
     assert len(found) == len(rows)
     named = [(i, t) for i, t in rows if i is not None]
@@ -83,7 +86,9 @@ def test_similar_sets_share_a_signature(seed, size, changes):
         assert np.bitwise_count(rows[0] ^ rows[1]).sum() <= jaccard.far(len(a), len(b))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [components.PART_LINKS, 3])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "PART_LINKS", most)
     draw = random.Random(1)
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + draw.randrange(1, 50)) for _ in range(60)] + [(5, 5), (None, 3)]
     links += [(2000 + draw.randrange(80), 2000 + draw.randrange(80)) for _ in range(60)]

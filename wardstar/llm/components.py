@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from wardstar.session import stage
 
 
+# Links that one task contracts at most.
+PART_LINKS = 1_000_000
+
+
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of one partition as stars: every node to the smallest one it reaches there."""
     above: dict[int, int] = {}
@@ -37,12 +41,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round contracts the links inside every partition, keeps one smaller neighbour per
     node, ties the others to it, and moves each node up by one step. Components halve their
-    depth each round, so long chains take logarithmically many. Nulls link nothing.
+    depth each round, so long chains take logarithmically many. Links that fit one part of
+    PART_LINKS are settled by contracting that part. Nulls link nothing.
     """
     links = links.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b"))
     now = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "links")
     seen = None
     while True:
+        if now.count() <= PART_LINKS:
+            done = stage(now.coalesce(1).mapInPandas(_contract, "a bigint, b bigint"), "links")
+            return done.select(F.col("a").alias("node"), F.col("b").alias("component"))
         stars = now.repartition("a").mapInPandas(_contract, "a bigint, b bigint")
         # one b per partition that knows the node, so these sets are small
         least = stars.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("more"))
