@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.words import split_words
 
-FIT_ROWS = 8_000
+FIT_ROWS = 3_000
 BITS = 18
 DIMENSIONS = 1 << BITS
 KEEP_FROM = 0.3
 HELD_OUT_FOLD, FOLDS = 0, 5
 COST = 1.0
-ROUNDS = 30
+ROUNDS = 12
 INTERPOLATION = 0.9
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -53,29 +53,32 @@ class Features:
 
     def __init__(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.word_hash: list[int] = []
-        self.shape_hash: list[int] = []
+        self.words = np.empty(0, np.uint64)
+        self.shapes = np.empty(0, np.uint64)
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self.place) > 300_000:
-            self.__init__()
-        for w in words:
-            if w not in self.place:
-                self.place[w] = len(self.place)
-                self.word_hash.append(xxhash.xxh64_intdigest(w.lower().strip(b".,;:!?\"'()")))
-                self.shape_hash.append(xxhash.xxh64_intdigest(shape(w)))
-        self.words = np.array(self.word_hash, np.uint64)
-        self.shapes = np.array(self.shape_hash, np.uint64)
+            self.place.clear()
+        fresh = [w for w in dict.fromkeys(words) if w not in self.place]
+        first, after = len(self.place), len(self.place) + len(fresh)
+        self.place.update(zip(fresh, range(first, after), strict=True))
+        if after > len(self.words):
+            grown = np.empty(after, np.uint64)
+            self.words = np.concatenate([self.words[:first], grown])
+            self.shapes = np.concatenate([self.shapes[:first], grown])
+        bare = (w.lower().strip(b".,;:!?\"'()") for w in fresh)
+        self.words[first:after] = np.frombuffer(b"".join(map(xxhash.xxh64_digest, bare)), ">u8")
+        self.shapes[first:after] = np.frombuffer(b"".join(xxhash.xxh64_digest(shape(w)) for w in fresh), ">u8")
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = split_words(text)
         if not words:
             return np.empty(0, np.int64)
         try:
-            at = np.array([self.place[w] for w in words])
+            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         except KeyError:
             self._learn(words)
-            at = np.array([self.place[w] for w in words])
+            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         s = self.shapes[at]
         s[1:][at[1:] == at[:-1]] = np.uint64(61)
         one = (s + _B) * _A
