@@ -29,7 +29,7 @@ from wardstar.llm.words import plain_words
 from wardstar.session import stage
 
 CATEGORIES = ("toxic", "repeated", "dense")
-FIT_ROWS = 10_000
+FIT_ROWS = 5_000
 VOCABULARY = 4096
 PREFIXES = (4, 5, 6)
 LEAST_SCORE = 5.0
