@@ -34,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token files, as read back: one row per document and copy."""
-    return packing.packed(docs)
+    return packing.packed(docs, remember=False)
 
 
 STAGES = [

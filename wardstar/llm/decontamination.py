@@ -30,7 +30,7 @@ WINDOW = 10
 SLOP = 4
 # Free places between documents: the widest span that a proximity search may ask for.
 GAP = 64
-SEGMENT_WORDS = 1 << 20
+SEGMENT_WORDS = 1 << 19
 QUERY_BLOCK_WORDS = 1 << 20
 
 INDEX_SCHEMA = "segment bigint, term binary, n_documents int, postings binary, doc_ids binary"

@@ -41,11 +41,11 @@ from wardstar.session import fresh_path, stage
 MAGIC, TRAILER = b"BPK1", b"BPKE"
 HEAD = struct.Struct("<4sIIIIQQ")
 BLOCK = 4096
-FILE_IDS = 2 << 20
+FILE_IDS = 1 << 20
 END_ID = 2
 VOCABULARY = 50257
 TOKENIZER = "byte_bpe_50k.json"
-KNOWN_PIECES = 800_000
+KNOWN_PIECES = 600_000
 SLICE_BYTES = 4 << 20
 
 
@@ -263,17 +263,28 @@ def _firsts(lists: pa.LargeListArray) -> list[str]:
     return lists.values.take(pa.array(lists.offsets.to_numpy()[:-1])).to_pylist()
 
 
-def _write_parts(path: str, bits: int, file_ids: int):
+def _write_parts(path: str, bits: int, file_ids: int, remember: bool):
     """Turns the sorted documents of one partition into files of about ``file_ids`` ids each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Millions of short-lived lists: counted references are enough for them.
+        gc.disable()
+        try:
+            yield from files(batches)
+        finally:
+            if not remember:
+                _ENCODERS.clear()
+            gc.enable()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         part, number = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         size = 0
-        gc.disable()  # millions of short-lived lists; counted references are enough for them
         for batch in batches:
             for piece in slices(batch, 1):
                 flat, lengths = encoder.encode(piece.column(1))
@@ -323,16 +334,20 @@ def write_packed(
     path: str | None = None,
     vocabulary: int = VOCABULARY,
     file_ids: int = FILE_IDS,
+    remember: bool = True,
 ) -> None:
     """Write the ids of all ``docs`` to packed files in ``folder``.
 
     Documents come in ascending order of ``doc_id`` (a whole number), nulls first; equal ids in
     the order of a hash of their texts. Null texts are empty: the end id alone. A table without
     rows gives no file. Texts are shuffled before encoding, as ids would take more room.
+
+    With ``remember`` a worker process keeps the words it knows for its next task: less work,
+    and some hundred MB a worker that other stages of a job may need.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("k"), F.col(f"`{text}`").alias("t"))
     ordered = rows.repartitionByRange("k").sortWithinPartitions("k", F.xxhash64("t"))
-    files = ordered.mapInArrow(_write_parts(path or tokenizer_path(), width(vocabulary), file_ids), "value binary")
+    files = ordered.mapInArrow(_write_parts(path or tokenizer_path(), width(vocabulary), file_ids, remember), "value binary")
     (
         files.select(F.col("value").cast("string"))
         .write.option("lineSep", TRAILER.decode())
@@ -385,9 +400,11 @@ def read_packed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+def packed(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, remember: bool = True
+) -> DataFrame:
     """Write the ids of ``docs`` to packed files in the shared folder and read them back."""
     spark = docs.sparkSession
     folder = fresh_path(spark, "packed-ids")
-    write_packed(docs, folder, doc_id, text, path)
+    write_packed(docs, folder, doc_id, text, path, remember=remember)
     return read_packed(spark, folder)
