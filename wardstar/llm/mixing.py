@@ -27,7 +27,7 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
-LEAF_ROWS = 20_000
+LEAF_ROWS = 2_000
 FAN_IN = 1_000
 OPEN = -1
 
