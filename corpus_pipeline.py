@@ -12,28 +12,41 @@ from wardstar.llm import decontamination, jaccard, mixing, packing, quality_rule
 from wardstar.session import stage
 
 
+# Whole texts are long rows: fewer of them in one Arrow batch bound the memory of a worker.
+BATCH_ROWS = "2000"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
+    _small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies."""
+    _small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    _small_batches(spark)
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
+    _small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token files, as read back: one row per document and copy."""
+    _small_batches(spark)
     return packing.packed(docs, remember=False)
 
 

@@ -274,6 +274,7 @@ def _write_parts(path: str, bits: int, file_ids: int, remember: bool):
         finally:
             if not remember:
                 _ENCODERS.clear()
+                _tokenizer.cache_clear()
             gc.enable()
             gc.collect()
             pa.default_memory_pool().release_unused()
