@@ -70,3 +70,16 @@ def hits(text, items, size=10):
                     covered.update(range(j, j + len(window)))
                     names.add(name)
     return len(found), len(covered), sorted(names)
+
+
+def near(text, items, size=10, slop=4):
+    """Items of which the words of any window lie, in any order, within ``size + slop`` words."""
+    found, names = plain(text), set()
+    for name, item in items:
+        wanted = plain(item)
+        for i in range(max(1, len(wanted) - size + 1)) if wanted else ():
+            window = wanted[i : i + size]
+            span = len(window) + slop
+            if any(set(window) <= set(found[j : j + span]) for j in range(len(found))):
+                names.add(name)
+    return sorted(names)

@@ -94,6 +94,28 @@ def test_proximity():
     assert len(decontamination.near_places(window, postings, 5)) == 2
 
 
+def test_near_items(spark):
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(draw.sample(words, n))) for i, n in enumerate([3, 10, 17, 25, 25, 31])]
+    rows = list(ODD)
+    for number, (_, text) in enumerate(items):
+        for first in range(0, max(1, len(text.split()) - 9)):
+            passage = text.split()[first : first + 10]
+            draw.shuffle(passage)
+            for _ in range(draw.randrange(6)):
+                passage.insert(draw.randrange(1, len(passage)), "other")
+            rows.append((1000 * number + 100 + first, "before " * 20 + " ".join(passage) + " after" * 20))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    index = decontamination.build_index(table(spark, rows).repartition(3), segment_words=600)
+    known = [(str(i), t) for i, t in items]
+    expected = sorted(((i or -1, brute.near(t, known)) for i, t in rows), key=str)
+    assert any(near and (i - 100) % 10 for i, near in expected if i >= 2100)
+    for block_words in (1000, 20):
+        found = decontamination.search(index, bench, block_words=block_words).collect()
+        assert sorted(((r["doc_id"] or -1, r["near_items"]) for r in found), key=str) == expected
+
+
 @pytest.mark.parametrize("bits", [1, 7, 8, 13, 16, 17, 31])
 def test_packed_file(bits):
     draw = np.random.default_rng(bits)

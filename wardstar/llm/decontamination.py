@@ -32,6 +32,8 @@ SLOP = 4
 GAP = 64
 SEGMENT_WORDS = 1 << 19
 QUERY_BLOCK_WORDS = 1 << 20
+# Anchors whose spans are tried at once.
+FIT_ANCHORS = 1 << 14
 
 INDEX_SCHEMA = "segment bigint, term binary, n_documents int, postings binary, doc_ids binary"
 INDEX_FIELDS = ["segment", "term", "n_documents", "postings", "doc_ids"]
@@ -167,20 +169,18 @@ def near_places(window: tuple[bytes, ...], postings: dict[bytes, np.ndarray], sp
         anchors = anchors[close]
         if not len(anchors):
             return anchors
-    return np.array([a for a in anchors.tolist() if _fits(a, lists, span)], np.int64)
+    pieces = [anchors[i : i + FIT_ANCHORS] for i in range(0, len(anchors), FIT_ANCHORS)]
+    return np.concatenate([piece[_fits(piece, lists[1:], span)] for piece in pieces])
 
 
-def _fits(anchor: int, lists: list[np.ndarray], span: int) -> bool:
-    """A span of places holds ``anchor`` and a word of every list."""
-    around = []
-    for number, found in enumerate(lists[1:]):
-        low, high = np.searchsorted(found, [anchor - span + 1, anchor + span])
-        around += [(p, number) for p in found[low:high].tolist()]
-    around.sort()
-    for first in range(anchor - span + 1, anchor + 1):
-        if len({n for p, n in around if first <= p < first + span}) == len(lists) - 1:
-            return True
-    return False
+def _fits(anchors: np.ndarray, others: list[np.ndarray], span: int) -> np.ndarray:
+    """Which anchors share a span of places with a word of every other list."""
+    firsts = anchors[:, None] + np.arange(1 - span, 1)
+    good = np.ones(firsts.shape, bool)
+    for found in others:
+        at = np.searchsorted(found, firsts)
+        good &= (at < len(found)) & (found[np.minimum(at, len(found) - 1)] < firsts + span)
+    return good.any(axis=1)
 
 
 SPANS = "array<struct<start:int,stop:int>>"
@@ -193,13 +193,12 @@ FOUND_SCHEMA = (
 def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
     """A function that searches one segment: its directory and the postings of the searched terms."""
     exact: dict[tuple[bytes, ...], list[str]] = {}
-    loose: dict[tuple[bytes, ...], list[str]] = {}
+    # windows of the same words in another order are near the same places
+    loose: dict[tuple[tuple[bytes, ...], int], set[str]] = {}
     for item, words in items:
-        every = windows_of(words, size)
-        for window in every:
+        for window in windows_of(words, size):
             exact.setdefault(window, []).append(item)
-        for window in every[::size] + every[-1:]:
-            loose.setdefault(window, []).append(item)
+            loose.setdefault((tuple(sorted(set(window))), len(window) + slop), set()).add(item)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         directory = rows[rows["term"].isna()].iloc[0]
@@ -207,7 +206,7 @@ def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
         n_docs = len(bases) - 1
         terms = rows[rows["term"].notna()]
         postings = {
-            bytes(t): np.frombuffer(p, "<i4") for t, p in zip(terms["term"], terms["postings"], strict=True)
+            bytes(t): np.frombuffer(p, "<i4").astype(np.int64) for t, p in zip(terms["term"], terms["postings"], strict=True)
         }
         steps = np.zeros(int(bases[-1]) + 1, np.int32)
         found: dict[int, set[str]] = {}
@@ -219,8 +218,8 @@ def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
                 steps[starts + len(window)] -= 1
                 for doc in np.unique(np.searchsorted(bases, starts, "right") - 1).tolist():
                     found.setdefault(doc, set()).update(names)
-        for window, names in loose.items():
-            places = near_places(window, postings, len(window) + slop)
+        for (words, span), names in loose.items():
+            places = near_places(words, postings, span)
             for doc in np.unique(np.searchsorted(bases, places, "right") - 1).tolist():
                 near.setdefault(doc, set()).update(names)
         edges = np.diff(np.concatenate([[0], np.cumsum(steps) > 0, [0]]).astype(np.int8))
