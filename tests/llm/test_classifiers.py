@@ -1,8 +1,10 @@
 """Trained models on made-up classes: held-out accuracy and edge cases."""
 
 import random
+import zlib
 
 import numpy as np
+import pytest
 
 from wardstar.llm import quality_classifier, toxicity
 
@@ -57,6 +59,27 @@ def test_quality_without_examples(spark):
     assert quality_classifier.scored(documents(spark, []), model).collect() == []
 
 
+def test_quality_fits_on_up_to_8000_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda rows, labels: seen.append(len(rows)))
+    for n in (5_000, 12_000):
+        table = spark.range(n).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+        quality_classifier.train(spark.range(n).selectExpr("id as doc_id", "concat('a b ', id) as text"), table)
+        assert seen.pop() == min(8_000, sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n)))
+
+
+def test_hinge_is_fitted_to_the_end():
+    draw = np.random.default_rng(1)
+    rows = [np.unique(draw.integers(0, 400, 25)) for _ in range(600)]
+    labels = np.array([int((r < 200).mean() > 0.5) for r in rows])
+    labels = np.where(draw.random(600) < 0.2, 1 - labels, labels)
+    weights = quality_classifier.fit_hinge(rows, labels)[1]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality_classifier, "ROUNDS", 1000)
+        best = quality_classifier.fit_hinge(rows, labels)[1]
+    assert np.linalg.norm(weights - best) < 0.01 * np.linalg.norm(best)
+
+
 def test_toxicity(spark):
     rows, labels = made(1500, 4)
     table = spark.createDataFrame(labels + [(None, 1, 1), (9001, None, None)], "doc_id bigint, quality int, toxic int")

@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.words import split_words
 
-FIT_ROWS = 3_000
+FIT_ROWS = 8_000
 BITS = 18
 DIMENSIONS = 1 << BITS
 KEEP_FROM = 0.3
 HELD_OUT_FOLD, FOLDS = 0, 5
 COST = 1.0
-ROUNDS = 12
+ROUNDS = 30
 INTERPOLATION = 0.9
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
