@@ -98,6 +98,16 @@ def test_toxicity(spark):
     assert all(r["toxicity"]["toxic"] >= 0.5 for r in found if r["doc_id"] is None)
 
 
+def test_vocabulary_of_all_labelled_documents(spark):
+    rows, labels = made(1500, 4)
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    chain = toxicity.train(documents(spark, rows), table, fit_rows=60)
+    assert b"badone" in chain.known
+    inside = [(t, y) for (i, t), (_, _, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 5]
+    assert chain.known == toxicity.vocabulary(spark.createDataFrame(inside, "t string, y int"))
+    assert toxicity.FIT_ROWS == 10_000
+
+
 def test_toxicity_without_examples(spark):
     rows, _ = made(30)
     none = spark.createDataFrame([], "doc_id bigint, toxic int")

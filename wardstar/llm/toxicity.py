@@ -6,8 +6,8 @@ have not seen the document (out-of-fold), so later models learn how far earlier
 trusted on new texts.
 
 The text enters as the set of its telling features: words and word beginnings that are far more
-frequent in toxic than in other labelled documents. Counts of all features are summed up before
-they are shuffled; at most VOCABULARY of them are kept. Models are linear with a logistic link,
+frequent in toxic than in other labelled documents, counted over all of these. Counts of all
+features are summed up before they are shuffled; at most VOCABULARY of them are kept. Models are linear with a logistic link,
 fitted on at most FIT_ROWS labelled documents. Every text is scored whole, each distinct word once
 per task.
 """
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.quality_classifier import HELD_OUT_FOLD, fold
 from wardstar.llm.words import plain_words
+from wardstar.operators.joins import lookup_join
 from wardstar.session import stage
 
 CATEGORIES = ("toxic", "repeated", "dense")
-FIT_ROWS = 5_000
+FIT_ROWS = 10_000
 VOCABULARY = 4096
 PREFIXES = (4, 5, 6)
 LEAST_SCORE = 5.0
@@ -47,24 +48,28 @@ def parts(word: bytes) -> list[bytes]:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents with each feature by label; the row without a feature counts all documents."""
     for batch in batches:
         both = (Counter(), Counter())
         for text, label in zip(batch["t"], batch["y"], strict=True):
             both[int(label)].update({p for w in set(plain_words(text)) for p in parts(w)})
+        for label in (0, 1):
+            both[label][None] = int((batch["y"] == label).sum())
         names = list(both[0].keys() | both[1].keys())
         yield pd.DataFrame({"feature": names, "n0": [both[0][f] for f in names], "n1": [both[1][f] for f in names]})
 
 
 def vocabulary(rows: DataFrame, most: int = VOCABULARY) -> dict[bytes, int]:
     """The features that tell toxic documents, numbered. ``rows``: t (text), y (0 or 1)."""
-    totals = rows.agg(F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1")).first()
-    if not totals["n0"] or not totals["n1"]:
-        return {}
     counted = rows.mapInPandas(_count, "feature binary, n0 bigint, n1 bigint")
     summed = counted.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    often = stage(summed.filter((F.col("n1") >= LEAST_DOCUMENTS) | F.col("feature").isNull()), "toxic-counts")
+    totals = often.filter("feature is null").first()
+    if totals is None or not totals["n0"] or not totals["n1"]:
+        return {}
     p, n = F.col("n1") + 0.5, F.col("n0") + 0.5
     ratio = F.log(p / n) - math.log((totals["n1"] + 1) / (totals["n0"] + 1))
-    scored = summed.filter(F.col("n1") >= LEAST_DOCUMENTS).withColumn("z", ratio / F.sqrt(1 / p + 1 / n))
+    scored = often.filter("feature is not null").withColumn("z", ratio / F.sqrt(1 / p + 1 / n))
     best = scored.filter(F.col("z") >= LEAST_SCORE).orderBy(F.desc("z"), "feature").limit(most)
     return {bytes(r["feature"]): i for i, r in enumerate(best.select("feature").collect())}
 
@@ -184,17 +189,19 @@ def train(
 ) -> Chain:
     """The chain over CATEGORIES from at most ``fit_rows`` labelled documents, chosen by a hash.
 
-    Documents of the held-out fold are left out, so that the chain can be measured on them; so
+    Its vocabulary comes from all labelled documents that are not left out. Documents of the held-out fold are left out, so that the chain can be measured on them; so
     are null ids and labels other than 0 and 1. A document with several labels counts with the
     largest. "repeated" and "dense" are toxic documents with several telling features, or with a
     large share of telling words.
     """
     given = labels.select(F.col(f"`{doc_id}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y"))
     given = given.filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
-    chosen = given.filter(fold("k") != HELD_OUT_FOLD).orderBy(F.xxhash64("k"), "k").limit(fit_rows)
+    known_labels = stage(given.filter(fold("k") != HELD_OUT_FOLD), "toxic-labels")
+    chosen = known_labels.orderBy(F.xxhash64("k"), "k").limit(fit_rows)
     texts = docs.select(F.col(f"`{doc_id}`").alias("k"), F.col(f"`{text}`").alias("t"))
     rows = stage(texts.join(F.broadcast(chosen), "k"), "toxic-sample")
-    known = vocabulary(rows)
+    labelled = lookup_join(texts.filter("k is not null"), known_labels, "k", "inner")
+    known = vocabulary(labelled.select("t", "y"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(known)
