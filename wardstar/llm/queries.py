@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import chat, decontamination, jaccard, mixing, packing, pii, quality_classifier, quality_rules, toxicity, warc
+from wardstar.llm import (
+    chat,
+    decontamination,
+    jaccard,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    toxicity,
+    warc,
+    whitening,
+)
 from wardstar.llm.sql import SQL as SQL
 from wardstar.session import stage
 
@@ -123,3 +136,22 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         *[F.col(c).alias(f"p_{c}") for c in toxicity.CATEGORIES],
         (F.col("toxic") >= toxicity.TOXIC_FROM).alias("is_toxic"),
     )
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("k", "vec_id")
+
+
+@query
+def op13_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assigned(table(spark, folder, "documents"))
+    return placed.select(
+        F.col("k").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wardstar.llm import sharding
+
 SQL: dict[str, str] = {}
 
 # base32 of the SHA-1: eight groups of five hex digits give four letters each.
@@ -87,3 +89,41 @@ WITH RECURSIVE words AS (
 SELECT words.doc_id, coalesce(sizes.n, 0) AS n_shingles, least(words.doc_id, coalesce(m, words.doc_id)) AS component_id
 FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON words.doc_id = a
 """
+
+
+def _feistel(source: str) -> str:
+    """One pass of the permutation over columns row, n, b, x of ``source``."""
+    first, second = sharding.MULTIPLIERS
+    low = sharding.LOW32
+    now = f"SELECT row, n, b, x // b AS l, x % b AS r FROM {source}"
+    for number in range(sharding.ROUNDS):
+        key = sharding.round_key(0, number)
+        now = f"SELECT row, n, b, l, r, (xor(r, {key}::UBIGINT) * {first}::UBIGINT) & {low}::UBIGINT AS y FROM ({now})"
+        now = f"SELECT row, n, b, l, r, (xor(y, y >> 15) * {second}::UBIGINT) & {low}::UBIGINT AS y FROM ({now})"
+        now = f"SELECT row, n, b, r AS l, (l + xor(y, y >> 13)) % b AS r FROM ({now})"
+    return f"SELECT row, n, b, l * b + r AS x FROM ({now})"
+
+
+# CRC-32 of the UTF-8 bytes: the table of its polynomial, then one step per byte.
+SQL["op13_feistel_shards"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                      CAST(i AS BIGINT)) for i in range(256)] AS tab
+), measured AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 8 AS BIGINT) AS size,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+                         lambda c, b: xor(c >> 8, crc.tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM documents, crc
+), numbered AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS UBIGINT) AS row FROM measured
+), start AS (
+  SELECT row, CAST(count(*) OVER () AS UBIGINT) AS n, CAST(ceil(sqrt(count(*) OVER ())) AS UBIGINT) AS b, row AS x FROM numbered
+), walk AS (
+  {_feistel("start")}
+  UNION ALL
+  {_feistel("(SELECT * FROM walk WHERE x >= n)")}
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {sharding.SHARDS} AS INTEGER) AS shard,
+       CAST(x // {sharding.SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walk USING (row) WHERE x < n
+"""
