@@ -54,6 +54,7 @@ def lookup_join(
     how: str = "left",
     spread: list[str] | None = None,
     keys_from: DataFrame | None = None,
+    broadcast: bool = True,
 ) -> DataFrame:
     """``facts`` joined to ``dim`` with equal names ``on`` (``how``: inner or left).
 
@@ -61,12 +62,13 @@ def lookup_join(
     Beyond that limit, a key with many rows is cut into pieces by the number of its rows, and
     its few ``dim`` rows are repeated once per piece; rows with a null key, which match nothing,
     are spread by a hash of the row. Hot keys are counted in ``keys_from``, by default ``facts``: in a chain of joins,
-    pass the stored table at its start, so that counting reads one column of it.
+    pass the stored table at its start, so that counting reads one column of it. ``broadcast=False`` shuffles a ``dim`` of
+    any size, for plans that should be the same at every scale.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    if fits_broadcast(dim):
+    if broadcast and fits_broadcast(dim):
         return facts.join(dim, keys, how)
 
     hot = hot_keys(facts if keys_from is None else keys_from, keys, PIECE_ROWS)
@@ -83,4 +85,4 @@ def lookup_join(
     salted_dim = (
         dim.join(F.broadcast(hot), keys, "left").withColumn(_SALT, F.explode(copies)).drop(_PIECES)
     )
-    return salted_facts.join(salted_dim, [*keys, _SALT], how).drop(_SALT)
+    return salted_facts.join(salted_dim if broadcast else salted_dim.hint("merge"), [*keys, _SALT], how).drop(_SALT)
