@@ -138,7 +138,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The character that stands for each byte in a byte-level vocabulary: itself if it prints,
     else the next one from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -146,7 +146,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
-_BYTE_LETTERS = _byte_letters()
+_BYTE_LETTERS = byte_letters()
 _L = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _P = re.escape("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 _PARTS = re.compile(f"([{_L}]*)([{_P}]*)(?:\n([{_L}]+)([{_P}]*))?").fullmatch

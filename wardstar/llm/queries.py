@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstar.llm import (
+    alignment,
     chat,
     decontamination,
     jaccard,
@@ -138,6 +139,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, folder, "documents")).withColumnRenamed("k", "doc_id")
+
+
 @query
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("k", "vec_id")
