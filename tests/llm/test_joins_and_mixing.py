@@ -151,16 +151,16 @@ def test_mix(spark):
         stopped |= more
     taken = {}
     for r in made:
-        assert r["source_size"] == sizes[r["s"]] and 0 <= r["copies"] <= 3
+        assert r["source_size"] == sizes[r["s"]] and 0 <= r["copies"] <= 3 * r["n"]
         assert r["target"] == pytest.approx(stopped.get(r["s"], share * weight[r["s"]]))
-        taken[r["s"]] = taken.get(r["s"], 0) + r["copies"] * r["size"] * r["n"]
+        taken[r["s"]] = taken.get(r["s"], 0) + r["copies"] * r["size"]
     for s in order:
         target = stopped.get(s, share * weight[s])
         # src2 has one document of 20,000 words
         assert abs(taken[s] - target) <= (20_000 if s == "src2" else 60 + 0.05 * target), (s, taken[s], target)
     docs = mixing.mixed_documents(table(spark, rows))
     assert docs.columns == SCHEMA.replace(",", "").split()[::2]
-    assert docs.count() == sum(r["copies"] * r["n"] for r in made)
+    assert docs.count() == sum(r["copies"] for r in made)
     assert mixing.mix(table(spark, [])).collect() == []
 
 
@@ -174,3 +174,31 @@ def test_tree_of_several_levels(spark, monkeypatch):
     for s in "ab":
         own = [r for r in made if r["s"] == s]
         assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= 60
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_equal_rows_share_their_copies(spark, doc, seed):
+    """500 equal rows want copies together; the source still meets its target."""
+    rows = [(doc, "w " * 100, "a")] * 500 + [(1000 + i, "v " * 100, "a") for i in range(500)]
+    rows += [(3000 + i, "u " * 50, "b") for i in range(1000)] + [(None, None, None)] * 3
+    made = mixing.mix(table(spark, rows).repartition(4), seed=seed)
+    each = mixing.mixed_rows(made).collect()
+    assert len(each) == len(rows) and all(0 <= r["copies"] <= 3 for r in each)
+    for s in "ab":
+        own = [r for r in each if r["s"] == s]
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= 150
+    same = [r["copies"] for r in each if r["k"] == doc and r["s"] == "a"]
+    assert len(same) == 500 and max(same) - min(same) <= 1
+
+
+def test_equal_rows_in_documents(spark):
+    rows = [(None, "w " * 10, "a")] * 40 + [(1, "w " * 10, "a")] * 30 + [(2 + i, "v " * 10, "b") for i in range(20)]
+    rows += [(1, "x " * 10, "a")] * 5
+    made = {(r["k"], r["s"]): r for r in mixing.mix(table(spark, rows)).collect()}
+    kept = mixing.mixed_documents(table(spark, rows).repartition(3)).collect()
+    assert len(kept) == sum(r["copies"] for r in made.values())
+    count = {}
+    for r in kept:
+        count[r["doc_id"], r["source"]] = count.get((r["doc_id"], r["source"]), 0) + 1
+    assert count == {key: r["copies"] for key, r in made.items() if r["copies"]}

@@ -82,3 +82,19 @@ def test_texts_come_back(spark):
     read = {r["page_id"]: r for r in warc.read_archives(spark, folder).collect()}
     assert {p: bytes(r["payload"]).decode() for p, r in read.items()} == {p: h for p, _, h in rows}
     assert {r["record_type"] for r in read.values()} == {"response"}
+
+
+def test_rows_that_share_a_page_id(spark):
+    """A row each, also for large payloads: none is lost or mixed up."""
+    long, other = "x" * 40_000, "y" * 50_000 + "é"
+    rows = [(1, "u", long), (1, "u", long), (2, "u", "s"), (2, "v", "s"), (3, "u", long), (3, "u", other), (3, "u", other)]
+    rows += [(4, "u", other)] + [(5, "u", "a"), (5, "u", "b"), (6, "u", "b")]
+    found = warc.round_trip(table(spark, rows).repartition(5)).collect()
+    first = {}
+    for page, _, html in sorted(rows):
+        first.setdefault(html, page)
+    expected = [
+        (page, len(html.encode()), warc.digest_of(html.encode()), *(("response", None) if first[html] == page else ("revisit", first[html])), None)
+        for page, _, html in rows
+    ]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)

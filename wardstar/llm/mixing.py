@@ -4,6 +4,8 @@ Every document of a source is wanted target / source size times. The whole part
 it is; the fraction is rounded so that each source keeps its words: two open documents are
 paired, mass moves at random from one to the other until one of them is integral, and the
 other stays open. Large documents meet first, so what is open at the end tends to be small.
+Rows that agree in id, source and size are one class that wants as many copies as all of them
+together; its copies are dealt evenly to its rows.
 
 The pairs form a reduction tree: a leaf holds a bounded share of one source, picked by a hash,
 one document at most stays open in each, and those meet in the next level until one per source
@@ -123,8 +125,8 @@ def mix(
 ) -> DataFrame:
     """Copies of each document: columns k (id), s (source), size, n, source_size, target, copies.
 
-    One row for all rows that agree in id, source and size (``n`` of them); they share their
-    draw. Documents without words are taken as often as the whole part says. A null id or source
+    One row for all rows that agree in id, source and size (``n`` of them, which take ``copies``
+    together: ``copies_of_row``). Documents without words are taken as often as the whole part says. A null id or source
     is a value like any other. A table without rows gives none.
     """
     rows = docs.select(
@@ -146,7 +148,7 @@ def mix(
     )
     info = stage(targets(sources), "mix-targets")
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    known = lookup_join(unit, info, keys, "inner", spread=["k", "size"]).withColumn("times", times)
+    known = lookup_join(unit, info, keys, "inner", spread=["k", "size"]).withColumn("times", times * F.col("n"))
     parts = known.withColumns(
         {
             "whole": F.floor("times"),
@@ -177,19 +179,47 @@ def mix(
     )
 
 
+def copies_of_row(copies: Column, n: Column, row: Column) -> Column:
+    """How many of a class's ``copies`` its row number ``row`` (from 0) of ``n`` takes."""
+    return (F.floor(copies / n) + (row < copies % n).cast("int")).cast("bigint")
+
+
+def mixed_rows(made: DataFrame) -> DataFrame:
+    """A row for every document of ``mix``: k, s, size, source_size, target, copies (of this row)."""
+    each = made.withColumn("row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
+    return each.select(
+        "k", "s", "size", "source_size", "target", copies_of_row(F.col("copies"), F.col("n"), F.col("row")).alias("copies")
+    )
+
+
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Rows of ``docs`` as often as the mix takes them, with exactly the columns of ``docs``."""
-    made = ["_mix_k", "_mix_s", "_mix_size", "_mix_copies"]
-    while set(made) & set(docs.columns):
-        made = [f"{m}_" for m in made]
-    k, s, size, copies = made
+    """Rows of ``docs`` as often as the mix takes them, with exactly the columns of ``docs``.
+
+    Rows of one class are told apart by their place in stored files; only such rows are numbered.
+    """
     chosen = mix(docs, doc_id, text, source).filter("copies > 0")
-    chosen = chosen.select(*[F.col(a).alias(b) for a, b in zip(["k", "s", "size", "copies"], made, strict=True)])
-    sized = docs.withColumn(f"{size}_", size_of(text))
-    same = (
-        sized[f"`{doc_id}`"].eqNullSafe(chosen[k])
-        & sized[f"`{source}`"].cast("string").eqNullSafe(chosen[s])
-        & (sized[f"{size}_"] == chosen[size])
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    doc = docs.select(
+        *_class(F.col(f"`{doc_id}`"), F.col(f"`{source}`"), size_of(text)),
+        *[F.col(f"`{c}`").alias(a) for c, a in zip(docs.columns, columns, strict=True)],
     )
-    taken = sized.join(chosen, same).withColumn(copies, F.explode(F.array_repeat(F.lit(1), F.col(copies).cast("int"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = stage(chosen.select(*_class(F.col("k"), F.col("s"), F.col("size")), "n", "copies"), "mix-classes")
+    taken = lookup_join(doc, found, CLASS, "inner", spread=columns[:1], keys_from=doc.select(*CLASS))
+    single = taken.filter("n = 1").withColumn("row", F.lit(0).cast("bigint"))
+    numbered = with_dense_key(taken.filter("n > 1"), "number", CLASS, start=0, label="mix-repeated")
+    first = numbered.groupBy(*CLASS).agg(F.min("number").alias("first"))
+    several = lookup_join(numbered, first, CLASS, "inner", spread=["number"])
+    several = several.withColumn("row", F.col("number") - F.col("first")).drop("number", "first")
+    rows = single.unionByName(several).withColumn("copies", copies_of_row(F.col("copies"), F.col("n"), F.col("row")))
+    rows = rows.filter("copies > 0").withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(*[F.col(a).alias(c) for c, a in zip(docs.columns, columns, strict=True)])
+
+
+CLASS = ["kn", "kk", "sn", "sk", "size"]
+
+
+def _class(k: Column, s: Column, size: Column) -> list[Column]:
+    """What rows of one class agree in, free of nulls."""
+    values = [("k", k.cast("string")), ("s", s.cast("string"))]
+    named = [c for n, v in values for c in (v.isNull().alias(f"{n}n"), F.coalesce(v, F.lit("")).alias(f"{n}k"))]
+    return [*named, size.alias("size")]

@@ -60,8 +60,7 @@ def op10_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     made = mixing.mix(table(spark, folder, "documents"))
-    each = made.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))))
-    return each.select(
+    return mixing.mixed_rows(made).select(
         F.col("k").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 

@@ -9,7 +9,7 @@ as line separator; a lost executor leaves no half file.
 Reading: whole archive files of bounded size are cut into records. Segments are grouped by the
 identifier of their origin, ordered by number, joined, and held against the total length the last
 one states; then the framing is decoded and the payload held against its digest. Pages are taken
-together by origin only, so a group is the segments of one page.
+together by origin only, so a group is the segments of one row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,18 +83,19 @@ def clean_uri(url: str | None) -> str | None:
     return None if url is None else re.sub(r"[\x00-\x20\x7f]+", "%20", url)
 
 
-def _urn(page: int) -> str:
-    return f"urn:page:{page}"
+def _urn(page: int, row: str = "0") -> str:
+    """The identifier of a record: ``row`` tells rows of one page apart."""
+    return f"urn:page:{page}:{row}"
 
 
-def response_records(page: int, url: str | None, payload: bytes, segment: int = SEGMENT) -> list[bytes]:
-    """The records of one page: one, or a first segment and its continuations."""
+def response_records(page: int, url: str | None, payload: bytes, segment: int = SEGMENT, row: str = "0") -> list[bytes]:
+    """The records of one page row: one, or a first segment and its continuations."""
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     pieces = [block[i : i + segment] for i in range(0, len(block), segment)]
     several = len(pieces) > 1
     first: list[tuple[str, object]] = [
         ("WARC-Type", "response"),
-        ("WARC-Record-ID", f"<{_urn(page)}>"),
+        ("WARC-Record-ID", f"<{_urn(page, row)}>"),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", clean_uri(url)),
         ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}"),
@@ -104,9 +106,9 @@ def response_records(page: int, url: str | None, payload: bytes, segment: int =
     for number, piece in enumerate(pieces[1:], 2):
         headers: list[tuple[str, object]] = [
             ("WARC-Type", "continuation"),
-            ("WARC-Record-ID", f"<{_urn(page)}:{number}>"),
+            ("WARC-Record-ID", f"<{_urn(page, row)}:{number}>"),
             ("WARC-Date", DATE),
-            ("WARC-Segment-Origin-ID", f"<{_urn(page)}>"),
+            ("WARC-Segment-Origin-ID", f"<{_urn(page, row)}>"),
             ("WARC-Segment-Number", number),
             ("WARC-Segment-Total-Length", len(block) if number == len(pieces) else None),
         ]
@@ -114,15 +116,16 @@ def response_records(page: int, url: str | None, payload: bytes, segment: int =
     return out
 
 
-def revisit_record(page: int, url: str | None, digest: str, refers_to: int) -> bytes:
+def revisit_record(page: int, url: str | None, digest: str, refers_to: int, row: str = "0") -> bytes:
+    """A record without payload; it refers to the response of that digest of page ``refers_to``."""
     return record(
         [
             ("WARC-Type", "revisit"),
-            ("WARC-Record-ID", f"<{_urn(page)}>"),
+            ("WARC-Record-ID", f"<{_urn(page, row)}>"),
             ("WARC-Date", DATE),
             ("WARC-Target-URI", clean_uri(url)),
             ("WARC-Payload-Digest", f"sha1:{digest}"),
-            ("WARC-Refers-To", f"<{_urn(refers_to)}>"),
+            ("WARC-Refers-To", f"<urn:page:{refers_to}>"),
             ("WARC-Profile", PROFILE),
         ],
         b"",
@@ -172,13 +175,16 @@ def payload_of(block: bytes) -> bytes:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a task's records are kept or lost together, so these numbers tell all rows apart
+    part, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         out: list[bytes] = []
         for page, url, html, refers, digest in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            row, number = f"{part}.{number}", number + 1
             if refers is None:
-                out += response_records(page, url, (html or "").encode("utf-8", "surrogatepass"))
+                out += response_records(page, url, (html or "").encode("utf-8", "surrogatepass"), row=row)
             else:
-                out.append(revisit_record(page, url, digest, refers))
+                out.append(revisit_record(page, url, digest, refers, row))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
 
@@ -193,9 +199,9 @@ def write_archives(
     """Write one WARC record per row of ``pages`` (more where it is segmented) below ``folder``.
 
     The payload is the html in UTF-8; null is empty. Of rows with equal payloads of at least
-    ``least`` bytes the one with the smallest page id is the response. Page ids are expected to be
-    unique: rows that share one give a record each. Rows without an id are left out. A table
-    without rows gives no records.
+    ``least`` bytes the one with the smallest page id is the response. Every row gives a record of
+    its own, however many share a page id: rows that repeat the response's page and payload are
+    responses too. Rows without an id are left out. A table without rows gives no records.
     """
     rows = pages.select(
         F.col(f"`{page_id}`").cast("bigint").alias("page"),
@@ -203,12 +209,15 @@ def write_archives(
         F.col(f"`{html}`").alias("html"),
     ).filter("page is not null")
     size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("bigint")
-    known = stage(rows.select("page", _digests("html").alias("digest"), size.alias("size")), "warc-digests")
+    known = rows.select("page", F.xxhash64("html").alias("content"), _digests("html").alias("digest"), size.alias("size"))
+    known = stage(known, "warc-digests")
     same = known.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page").alias("first"), F.max("page").alias("last"))
     firsts = stage(same.filter("first <> last").select("digest", "first"), "warc-firsts")
     copies = lookup_join(known, firsts, "digest", "inner", spread=["page"])
-    again = copies.filter("page <> first").select("page", F.col("first").alias("refers"), "digest").distinct()
-    told = lookup_join(rows, stage(again, "warc-again"), "page", "left", spread=["page"])
+    # a page may have rows of several payloads: its revisits are told apart by a hash of the content
+    again = copies.filter("page <> first").select("page", "content", F.col("first").alias("refers"), "digest").distinct()
+    hashed = rows.withColumn("content", F.xxhash64("html"))
+    told = lookup_join(hashed, stage(again, "warc-again"), ["page", "content"], "left", spread=["page"])
     # a revisit carries no payload
     once = told.select(
         "page", "url", F.when(F.col("refers").isNull(), F.col("html")).alias("html"), "refers", "digest"
@@ -222,7 +231,7 @@ def write_archives(
     )
 
 
-RECORD_SCHEMA = "origin bigint, kind string, number int, total bigint, digest string, refers bigint, block binary"
+RECORD_SCHEMA = "origin string, page bigint, kind string, number int, total bigint, digest string, refers bigint, block binary"
 
 
 def _page_of(urn: str | None) -> int | None:
@@ -232,14 +241,16 @@ def _page_of(urn: str | None) -> int | None:
 def _parse(segmented: bool):
     """The records of whole files: those that are segments, or those that are not."""
     names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-    types = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
     def rows(data: bytes) -> Iterator[tuple]:
         for headers, block in parse_records(data):
             if ("warc-segment-number" in headers) == segmented:
                 total = headers.get("warc-segment-total-length")
+                origin = headers.get("warc-segment-origin-id") or headers["warc-record-id"]
                 yield (
-                    _page_of(headers.get("warc-segment-origin-id") or headers["warc-record-id"]),
+                    origin,
+                    _page_of(origin),
                     headers["warc-type"],
                     int(headers.get("warc-segment-number", 1)),
                     int(total) if total else None,
@@ -280,17 +291,18 @@ def _decoded(segments: pd.Series, digest: pd.Series) -> pd.DataFrame:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page of the archives: page_id, record_type, payload, payload_digest, refers_to, problem.
 
-    A revisit has no payload of its own. Records of one page that are not segments give a row each;
-    segments of one page are taken together. A page whose segments are incomplete, or whose framing,
+    A revisit has no payload of its own. Every record that is no continuation gives a row, also
+    where several have one page. A page whose segments are incomplete, or whose framing,
     length or digest is wrong, has a null payload and the problem in words.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
     part = F.struct("number", "total", "block")
-    columns = ["origin", "kind", "digest", "refers", "parts"]
-    # only segments need their page's other records
+    columns = ["page", "kind", "digest", "refers", "parts"]
+    # only segments need the other records of their origin
     whole = files.mapInArrow(_parse(False), RECORD_SCHEMA).withColumn("parts", F.array(part)).select(*columns)
     segments = files.mapInArrow(_parse(True), RECORD_SCHEMA)
     joined = segments.groupBy("origin").agg(
+        F.max("page").alias("page"),
         F.max(F.when(F.col("kind") != "continuation", F.col("kind"))).alias("kind"),
         F.max("digest").alias("digest"),
         F.max("refers").alias("refers"),
@@ -299,7 +311,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     pages = whole.unionByName(joined.select(*columns))
     read = pages.withColumn("got", F.when(F.col("refers").isNull(), _decoded("parts", "digest")))
     return read.select(
-        F.col("origin").alias("page_id"),
+        F.col("page").alias("page_id"),
         F.col("kind").alias("record_type"),
         "got.payload",
         F.col("digest").alias("payload_digest"),
@@ -322,9 +334,9 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
         read.select("page_id", F.octet_length("payload").cast("bigint").alias("bytes"), "payload_digest", "record_type", "refers_to", "problem"),
         "warc-pages",
     )
-    asked = narrow.filter("refers_to is not null").select(F.col("refers_to").alias("page_id")).distinct()
-    sizes = narrow.select("page_id", "bytes").join(asked, "page_id", "left_semi")
-    sizes = sizes.select(F.col("page_id").alias("refers_to"), F.col("bytes").alias("of_first"))
-    return lookup_join(narrow, sizes, "refers_to", "left", spread=["page_id"]).select(
+    asked = narrow.filter("refers_to is not null").select(F.col("refers_to").alias("page_id"), "payload_digest").distinct()
+    sizes = narrow.filter("refers_to is null").join(asked, ["page_id", "payload_digest"], "left_semi")
+    sizes = sizes.groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("bytes").alias("of_first"))
+    return lookup_join(narrow, sizes, ["refers_to", "payload_digest"], "left", spread=["page_id"]).select(
         "page_id", F.coalesce("bytes", "of_first").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", "problem"
     )
