@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.session import stage
+from wardstar.session import plan_bytes, stage
 
 # Fixed values.
 SCALE = 256
@@ -36,6 +36,7 @@ EXACT = 1 << 62  # sums below this are exact in 64-bit integers
 RESIDUAL = 1e-15  # of the largest singular value
 RANK = 1e-12  # smaller singular values, relative to the largest, count as none
 SLICE_VALUES = 1 << 20
+TASK_BYTES = 64 << 20  # of the stored fit list, that one task of a scan reads
 
 
 @dataclass
@@ -190,7 +191,10 @@ def fit_list(vectors: DataFrame) -> tuple[DataFrame, int]:
     lengths = vectors.groupBy(F.length("x").alias("bytes")).count()
     top = lengths.orderBy(F.desc("count"), F.desc("bytes")).first()
     dims = top["bytes"] // 8 if top else 0
-    return stage(vectors.filter(F.length("x") == 8 * dims).select("x").distinct(), "whiten-fit"), dims
+    listed = stage(vectors.filter(F.length("x") == 8 * dims).select("x").distinct(), "whiten-fit")
+    # the list is scanned many times: no more tasks than its size or the cores ask for
+    tasks = max(listed.sparkSession.sparkContext.defaultParallelism, -(-plan_bytes(listed) // TASK_BYTES))
+    return listed.coalesce(tasks), dims
 
 
 def fit(vectors: DataFrame, wanted: int = COMPONENTS, seed: int = 0) -> Whitening | None:
