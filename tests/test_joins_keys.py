@@ -99,3 +99,18 @@ def test_hot_keys_are_cut_by_their_rows(spark, no_broadcast, monkeypatch):
         assert got.filter("v is not null").count() == 36_000 and got.count() == 40_000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_may_match(spark, monkeypatch):
+    """No match is lost, and most other rows are gone before any shuffle."""
+    facts = spark.range(20_000).selectExpr("if(id % 97 = 0, null, id) as k", "cast(id as string) as t")
+    keys = spark.range(0, 20_000, 40).selectExpr("id as k")
+    exact = {r["k"] for r in facts.join(keys, "k").collect()}
+    found = joins.may_match(facts, keys, "k")
+    assert found.columns == ["k", "t"]
+    passed = {r["k"] for r in found.collect()}
+    assert exact <= passed and len(passed) < len(exact) + 20
+    monkeypatch.setattr(joins, "FILTER_WORDS", 2)
+    assert exact <= {r["k"] for r in joins.may_match(facts, keys, ["k"]).collect()}
+    assert joins.may_match(facts, keys.limit(0), "k").count() == 0
+    assert joins.may_match(facts.limit(0), keys, "k").count() == 0

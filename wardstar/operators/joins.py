@@ -14,6 +14,9 @@ from wardstar.session import plan_bytes
 PIECE_ROWS = 1_000_000
 HOT_KEYS = 100_000
 
+# Words of 64 bits in the filter of ``may_match``: 16 MB, however many keys there are.
+FILTER_WORDS = 1 << 20
+
 _SALT = "_join_salt"
 _PIECES = "_join_pieces"
 
@@ -47,6 +50,25 @@ def hot_keys(df: DataFrame, on: list[str], piece_rows: int = PIECE_ROWS) -> Data
     return counts.filter(F.col("_n") > piece).select(*on, F.ceil(F.col("_n") / piece).alias(_PIECES))
 
 
+def may_match(facts: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+    """Rows of ``facts`` that can have an equal in ``keys``, and few others, without a shuffle of ``facts``.
+
+    Hashes of the keys set bits of a table of FILTER_WORDS words, which is small enough to
+    broadcast for any number of keys; a join afterwards drops what only shares a bit. With as
+    many keys as bits about two thirds of the other rows pass, with a hundredth as many 1 %.
+    Null keys match nothing.
+    """
+    names = [on] if isinstance(on, str) else list(on)
+    hashed = F.xxhash64(*names)
+    word = F.pmod(hashed, F.lit(FILTER_WORDS)).alias("_word")
+    bit = F.shiftright(hashed, 40).bitwiseAND(F.lit(63)).cast("int").alias("_bit")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_bit"))
+    table = keys.dropna(subset=names).select(word, bit).groupBy("_word").agg(F.bit_or(one).alias("_bits"))
+    marked = facts.dropna(subset=names).withColumns({"_word": word, "_bit": bit})
+    kept = marked.join(F.broadcast(table), "_word").filter(F.getbit("_bits", "_bit") == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in facts.columns])
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
