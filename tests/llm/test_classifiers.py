@@ -125,3 +125,26 @@ def test_later_categories_use_earlier_ones():
     chain = toxicity.fit_chain({b"a": 0, b"b": 1}, rows, labels)
     assert chain.models[1].chain[0] > 0
     assert chain.probabilities([0])[1] > 0.9 > 0.1 > chain.probabilities([1])[1]
+
+
+def test_repeated_rows_are_fitted_once(spark):
+    """One labelled id in many rows neither floods the fit nor loses its texts."""
+    rows, labels = made(300, 4)
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    inside = next(i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5)
+    more = rows + [(inside, "badone again")] * 5_000 + [(inside, f"plain {n}") for n in range(50)]
+    seen = []
+    fit = toxicity.fit_chain
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "fit_chain", lambda known, sets, labels: seen.append(len(sets)) or fit(known, sets, labels))
+        toxicity.train(documents(spark, more), table)
+        toxicity.train(documents(spark, more), table, fit_rows=100)
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in rows) + 51, 100]
+
+
+def test_counts_do_not_depend_on_flushes(spark, monkeypatch):
+    rows, labels = made(1500, 4)
+    known = spark.createDataFrame([(t, y) for (_, t), (_, _, y) in zip(rows, labels)], "t string, y int")
+    whole = toxicity.vocabulary(known)
+    monkeypatch.setattr(toxicity, "COUNTED_FEATURES", 10)
+    assert whole and toxicity.vocabulary(known) == whole

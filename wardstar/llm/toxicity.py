@@ -5,11 +5,14 @@ probabilities of the categories before it. In training these probabilities come
 have not seen the document (out-of-fold), so later models learn how far earlier ones can be
 trusted on new texts.
 
+The verdict is the last category of the chain: whether a document is toxic is decided with the
+probabilities that it repeats telling words or is dense with them.
+
 The text enters as the set of its telling features: words and word beginnings that are far more
 frequent in toxic than in other labelled documents, counted over all of these. Counts of all
-features are summed up before they are shuffled; at most VOCABULARY of them are kept. Models are linear with a logistic link,
-fitted on at most FIT_ROWS labelled documents. Every text is scored whole, each distinct word once
-per task.
+features are summed up before they are shuffled; at most VOCABULARY of them are kept. Models are
+linear with a logistic link, fitted on at most FIT_ROWS labelled documents. Every text is scored
+whole, each distinct word once per task. Of the texts only those with a label are shuffled.
 """
 
 from __future__ import annotations
@@ -26,10 +29,10 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.quality_classifier import HELD_OUT_FOLD, fold
 from wardstar.llm.words import plain_words
-from wardstar.operators.joins import lookup_join
+from wardstar.operators.joins import lookup_join, may_match
 from wardstar.session import stage
 
-CATEGORIES = ("toxic", "repeated", "dense")
+CATEGORIES = ("repeated", "dense", "toxic")
 FIT_ROWS = 10_000
 VOCABULARY = 4096
 PREFIXES = (4, 5, 6)
@@ -38,8 +41,9 @@ LEAST_DOCUMENTS = 3
 INNER_FOLDS = 4
 ROUNDS = 12
 TOXIC_FROM = 0.5
-# What makes a toxic document one with repeated or dense toxic language.
+# What makes a toxic document one with repeated or dense toxic language: occurrences of telling words, their share.
 REPEATED_FROM, DENSE_FROM = 3, 0.02
+COUNTED_FEATURES = 400_000  # that a task holds before it passes them on
 
 
 def parts(word: bytes) -> list[bytes]:
@@ -49,14 +53,21 @@ def parts(word: bytes) -> list[bytes]:
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents with each feature by label; the row without a feature counts all documents."""
+    both: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def counted() -> pd.DataFrame:
+        names = list(both[0].keys() | both[1].keys())
+        rows = pd.DataFrame({"feature": names, "n0": [both[0][f] for f in names], "n1": [both[1][f] for f in names]})
+        both[0].clear(), both[1].clear()
+        return rows
+
     for batch in batches:
-        both = (Counter(), Counter())
         for text, label in zip(batch["t"], batch["y"], strict=True):
             both[int(label)].update({p for w in set(plain_words(text)) for p in parts(w)})
-        for label in (0, 1):
-            both[label][None] = int((batch["y"] == label).sum())
-        names = list(both[0].keys() | both[1].keys())
-        yield pd.DataFrame({"feature": names, "n0": [both[0][f] for f in names], "n1": [both[1][f] for f in names]})
+            both[int(label)][None] += 1
+            if len(both[0]) + len(both[1]) > COUNTED_FEATURES:
+                yield counted()
+    yield counted()
 
 
 def vocabulary(rows: DataFrame, most: int = VOCABULARY) -> dict[bytes, int]:
@@ -189,19 +200,24 @@ def train(
 ) -> Chain:
     """The chain over CATEGORIES from at most ``fit_rows`` labelled documents, chosen by a hash.
 
-    Its vocabulary comes from all labelled documents that are not left out. Documents of the held-out fold are left out, so that the chain can be measured on them; so
-    are null ids and labels other than 0 and 1. A document with several labels counts with the
-    largest. "repeated" and "dense" are toxic documents with several telling features, or with a
-    large share of telling words.
+    Its vocabulary comes from all labelled documents that are not left out. Documents of the
+    held-out fold are left out, so that the chain can be measured on them; so are null ids and
+    labels other than 0 and 1. A document with several labels counts with the largest. Rows that
+    repeat an id and its text are fitted once. "repeated" and "dense" are toxic documents in which
+    telling words occur several times, or with a large share of them.
     """
     given = labels.select(F.col(f"`{doc_id}`").alias("k"), F.col(f"`{label}`").cast("int").alias("y"))
     given = given.filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
     known_labels = stage(given.filter(fold("k") != HELD_OUT_FOLD), "toxic-labels")
-    chosen = known_labels.orderBy(F.xxhash64("k"), "k").limit(fit_rows)
     texts = docs.select(F.col(f"`{doc_id}`").alias("k"), F.col(f"`{text}`").alias("t"))
-    rows = stage(texts.join(F.broadcast(chosen), "k"), "toxic-sample")
-    labelled = lookup_join(texts.filter("k is not null"), known_labels, "k", "inner")
+    few = may_match(texts, known_labels, "k")
+    labelled = stage(
+        lookup_join(few, known_labels, "k", "inner", keys_from=texts.select("k"), broadcast=False), "toxic-texts"
+    )
     known = vocabulary(labelled.select("t", "y"))
+    hashed = labelled.withColumn("h", F.xxhash64("k", "t"))
+    last = hashed.select("h").distinct().orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+    rows = hashed.filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(known)
@@ -222,9 +238,9 @@ def train(
     found = found.sort_values(["k", "words", "telling"], kind="stable")
     y = found["y"].to_numpy()
     sets = [[int(i) for i in f] for f in found["f"]]
-    several = np.array([len(s) for s in sets]) >= REPEATED_FROM if sets else np.zeros(0, bool)
+    several = found["telling"].to_numpy() >= REPEATED_FROM
     dense = found["telling"].to_numpy() >= DENSE_FROM * np.maximum(found["words"].to_numpy(), 1)
-    table = np.stack([y, y * several, y * dense], 1) if sets else np.zeros((0, len(CATEGORIES)))
+    table = np.stack([y * several, y * dense, y], 1) if sets else np.zeros((0, len(CATEGORIES)))
     return fit_chain(known, sets, table)
 
 
