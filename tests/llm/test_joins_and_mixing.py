@@ -202,3 +202,25 @@ def test_equal_rows_in_documents(spark):
     for r in kept:
         count[r["doc_id"], r["source"]] = count.get((r["doc_id"], r["source"]), 0) + 1
     assert count == {key: r["copies"] for key, r in made.items() if r["copies"]}
+
+
+@pytest.mark.parametrize("members", [300, 1200])
+def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch, members):
+    """Near copies, and texts that only share a signature's part: no member meets all parts."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    counts = []
+    kept = jaccard._candidates
+
+    def counted(blocks, *others):
+        counts.append(blocks.count())
+        return kept(blocks, *others)
+
+    monkeypatch.setattr(jaccard, "_candidates", counted)
+    draw = random.Random(7)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(i, edited(base, 1, draw)) for i in range(members)]
+    rows += [(10_000 + i, "the same long notice of all pages here " + " ".join(f"p{i}x{j}" for j in range(12))) for i in range(members)]
+    found = {r["k"]: r["component"] for r in jaccard.classes(table(spark, rows)).collect()}
+    assert {found[i] for i in range(members)} == {0}
+    assert all(found[10_000 + i] == 10_000 + i for i in range(members))
+    assert max(counts) < 400 * members

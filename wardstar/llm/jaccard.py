@@ -15,6 +15,10 @@ has in the rest of the part). Sets close to the upper end of a band also sign fo
 4. The rest is verified by the exact sets. In larger groups only pairs between different
    components are: first the closest pairs that could join all members of a block, then, as
    long as there are any, pairs that could join components not yet tied.
+5. A group beyond BLOCK members is first tied together in parts, dealt anew in every round, so
+   that its rows grow with its members. What is left of it, if it is not one component, signs a
+   second time with another partition of the domain: similar members share a second signature
+   too, and only members that do are compared.
 
 So no list of all pairs in a group of near copies is ever made, and no link between components
 is missed: every pair that a signature brings together is ruled out, verified, or inside one
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardstar.llm.components import components
+from wardstar.llm.tasks import tidied
 from wardstar.llm.words import BLANKS, raw
 from wardstar.operators.joins import lookup_join
 from wardstar.session import stage
@@ -45,6 +50,7 @@ CELLS = 3
 BAND = 1.25
 SMALL = 4
 BLOCK = 1024
+DEALS = 4  # rounds in which the parts of a large group are dealt anew
 MOST_BITS = 4096
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -191,9 +197,11 @@ class Bands:
         return int(far(self.upper(band), self.upper(band), self.percent))
 
 
-def signatures(grams: np.ndarray, bands: Bands, cells: int = CELLS) -> np.ndarray:
-    """All signatures of one set (sorted distinct hashes)."""
+def signatures(grams: np.ndarray, bands: Bands, cells: int = CELLS, seed: int = 0) -> np.ndarray:
+    """All signatures of one set (sorted distinct hashes); each ``seed`` is a partition of its own."""
     out = []
+    if seed:
+        grams = np.sort(mixed(grams ^ mixed(np.array([seed], np.uint64))))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams + _ODD), dtype=np.uint64)])
     for band in bands.of(len(grams)):
         parts = bands.distance(band) // 2 + 1
@@ -228,15 +236,15 @@ def _describe(size: int):
     return run
 
 
-def _sign(size: int, percent: int, cells: int):
+def _sign(size: int, percent: int, cells: int, seed: int = 0):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands = Shingler(size), Bands(percent)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 piece = batch.slice(at, 1000)
-                made = [signatures(shingles(t.as_py()), bands, cells) for t in piece.column(1)]
+                made = [signatures(shingles(t.as_py()), bands, cells, seed) for t in piece.column(1)]
                 nodes = np.repeat(piece.column(0).to_numpy(zero_copy_only=False), [len(m) for m in made])
-                flat = np.concatenate(made).view(np.int64)
+                flat = np.concatenate([*made, np.empty(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(nodes, pa.int64())], ["sig", "node"])
 
     return run
@@ -457,7 +465,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
     ends = pairs.select(F.col("a").alias("k"), "a", "b").unionByName(pairs.select(F.col("b").alias("k"), "a", "b"))
     needed = stage(ends.select("k").distinct(), "gram-needed")
     texts = rows.join(needed, "k", "left_semi")
-    grams = stage(texts.mapInArrow(_gram_bytes(size), "k bigint, grams binary"), "grams")
+    grams = stage(texts.mapInArrow(tidied(_gram_bytes(size)), "k bigint, grams binary"), "grams")
     sides = grams.join(ends, "k").groupBy("a", "b").agg(
         F.collect_list(F.when(F.col("k") == F.col("a"), F.col("grams"))).alias("x"),
         F.collect_list(F.when(F.col("k") == F.col("b"), F.col("grams"))).alias("y"),
@@ -486,6 +494,31 @@ def _blocks(members: DataFrame) -> DataFrame:
     return each.select("sig", "block.low", "block.high", side.alias("side"), "node")
 
 
+def _parts(members: DataFrame, seed: int) -> DataFrame:
+    """Members with one block each: a whole group of up to BLOCK, a part of a larger one."""
+    counts = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    dealt = lookup_join(members, counts, "sig", "inner", spread=["node"])
+    part = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts")).cast("int")
+    return dealt.select("sig", part.alias("low"), part.alias("high"), F.lit(-1).alias("side"), "node")
+
+
+def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of groups that are not one component."""
+    held = lookup_join(members, labels.select("node", "component"), "node", "left", spread=["sig"])
+    label = F.coalesce("component", "node")
+    mixed_groups = held.groupBy("sig").agg(F.min(label).alias("least"), F.max(label).alias("most")).filter("least <> most")
+    return lookup_join(members, stage(mixed_groups.select("sig"), "gram-mixed"), "sig", "inner", spread=["node"])
+
+
+def _signed_again(members: DataFrame, rows: DataFrame, size: int, percent: int, cells: int) -> DataFrame:
+    """Members of large groups (sig, node) by both signatures of a pair: sig is a hash of the two."""
+    nodes = stage(members.select(F.col("node").alias("k")).distinct(), "gram-again")
+    texts = rows.filter("k is not null").join(nodes, "k", "left_semi")
+    second = texts.mapInArrow(tidied(_sign(size, percent, cells, 1)), "second bigint, node bigint")
+    both = members.join(second, "node")
+    return both.select(F.xxhash64("sig", "second").alias("sig"), "node").distinct()
+
+
 def _candidates(blocks: DataFrame, nodes: DataFrame, labels: DataFrame | None, percent: int, closest: bool) -> DataFrame:
     """Rows of JOIN_SCHEMA for blocks that hold more than one component."""
     if labels is None:
@@ -494,7 +527,7 @@ def _candidates(blocks: DataFrame, nodes: DataFrame, labels: DataFrame | None, p
         held = lookup_join(blocks, labels.select("node", "component"), "node", "left")
         held = held.withColumn("label", F.coalesce("component", "node")).drop("component")
     ordered = lookup_join(held, nodes, "node", "inner").repartition(*KEYS).sortWithinPartitions(*KEYS)
-    return ordered.mapInArrow(_joining(percent, closest), JOIN_SCHEMA)
+    return ordered.mapInArrow(tidied(_joining(percent, closest)), JOIN_SCHEMA)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -506,6 +539,19 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(ends[0] != ends[1]).select("a", "b")
 
 
+def _grouped(signed: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of signed sets (sig, node): possible pairs of small groups, members (sig, node) of larger ones."""
+    ordered = signed.repartition("sig").sortWithinPartitions("sig")
+    groups = stage(ordered.mapInArrow(tidied(_groups), GROUP_SCHEMA), "gram-groups")
+    pairs = groups.filter("sig is null").select("a", "b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in nodes.columns]), side)
+    close = pairs.filter(_possible(percent)("n_a", "sketch_a", "n_b", "sketch_b")).select("a", "b")
+    larger = groups.filter("sig is not null").select(F.col("a").alias("node"), "sig", "members")
+    chosen = larger.groupBy("members").agg(F.min("sig").alias("sig"))
+    return close, larger.join(chosen, ["members", "sig"], "left_semi").select("sig", "node")
+
+
 def classes(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -522,7 +568,7 @@ def classes(
     have no component and tie nothing. Rows that share an id are one document with several sets.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("k"), F.col(f"`{text}`").alias("t"))
-    sets = stage(rows.mapInArrow(_describe(size), SETS_SCHEMA), "gram-sets")
+    sets = stage(rows.mapInArrow(tidied(_describe(size)), SETS_SCHEMA), "gram-sets")
     own = ["n", "s1", "s2"]
     known = sets.filter("n > 0 and k is not null")
     alike = stage(
@@ -538,23 +584,18 @@ def classes(
     named = copies.filter("k <> rep").select("k").distinct()
     others = stage(named.join(alike.select(F.col("rep").alias("k")), "k", "left_anti"), "gram-others")
     texts = rows.filter("k is not null").join(others, "k", "left_anti")
-    signed = texts.mapInArrow(_sign(size, percent, cells), "sig bigint, node bigint")
-    ordered = signed.repartition("sig").sortWithinPartitions("sig")
-    groups = stage(ordered.mapInArrow(_groups, GROUP_SCHEMA), "gram-groups")
-
+    signed = texts.mapInArrow(tidied(_sign(size, percent, cells)), "sig bigint, node bigint")
     nodes = alike.select(F.col("rep").alias("node"), "n", "sketch")
-    pairs = groups.filter("sig is null").select("a", "b").distinct()
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in nodes.columns]), side)
-    close = pairs.filter(_possible(percent)("n_a", "sketch_a", "n_b", "sketch_b")).select("a", "b")
-
-    large = groups.filter("sig is not null").select(F.col("a").alias("node"), "sig", "members")
-    chosen = large.groupBy("members").agg(F.min("sig").alias("sig"))
-    members = large.join(chosen, ["members", "sig"], "left_semi").select("sig", "node")
-    blocks = stage(_blocks(members), "gram-blocks")
+    close, members = _grouped(signed, nodes, percent)
+    members = stage(members, "gram-members")
+    counts = members.groupBy("sig").agg((F.count(F.lit(1)) > BLOCK).alias("large"))
+    sized = lookup_join(members, counts, "sig", "inner", spread=["node"])
+    large = stage(sized.filter("large").select("sig", "node"), "gram-large")
+    blocks = stage(_blocks(sized.filter("not large").select("sig", "node")), "gram-blocks")
 
     made = stage(_candidates(blocks, nodes, None, percent, True), "gram-candidates")
-    tested = stage(close.unionByName(made.select("a", "b")).distinct(), "gram-pairs")
+    first = _candidates(_parts(large, 0), nodes, None, percent, True).select("a", "b")
+    tested = stage(close.unionByName(made.select("a", "b")).unionByName(first).distinct(), "gram-pairs")
 
     # an id with several sets ties their classes
     twice = known.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k")
@@ -562,6 +603,34 @@ def classes(
     tied = tied.select(F.col("k").alias("a"), F.col("rep").alias("b"))
     links = stage(_verified(tested, rows, size, percent).unionByName(tied), "gram-links")
     labels = components(links)
+
+    def verified(candidates: DataFrame) -> bool:
+        """Tests candidate pairs that were not tested before; true if they tied anything."""
+        nonlocal tested, links, labels
+        more = stage(candidates.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "gram-pairs")
+        if more.isEmpty():
+            return False
+        tested = stage(tested.unionByName(more), "gram-tested")
+        found = stage(_verified(more, rows, size, percent), "gram-links")
+        if found.isEmpty():
+            return False
+        links = links.unionByName(found)
+        labels = components(links)
+        return True
+
+    for deal in range(1, DEALS):
+        large = stage(_still_open(large, labels), "gram-large")
+        if large.isEmpty():
+            break
+        if not verified(_candidates(_parts(large, deal), nodes, labels, percent, True)):
+            break
+    large = stage(_still_open(large, labels), "gram-large")
+    if not large.isEmpty():
+        close, again = _grouped(_signed_again(large, rows, size, percent, cells), nodes, percent)
+        split = stage(_blocks(again), "gram-blocks")
+        joined = stage(_candidates(split, nodes, labels, percent, True), "gram-candidates")
+        verified(_apart(close, labels).unionByName(joined.select("a", "b")))
+        blocks, made = blocks.unionByName(split), made.unionByName(joined)
     for closest in (True, False):
         # Pairs of a block join what its chosen pairs join. So a block has to be looked at again
         # only if it has further pairs and one of the chosen did not tie its ends.
@@ -571,14 +640,7 @@ def classes(
         if open_.isEmpty():
             break
         made = stage(_candidates(open_, nodes, labels, percent, closest), "gram-candidates")
-        more = stage(made.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "gram-pairs")
-        tested = stage(tested.unionByName(more), "gram-tested")
-        if more.isEmpty():
-            continue
-        found = stage(_verified(more, rows, size, percent), "gram-links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
+        verified(made)
     label = alike.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
     label = label.withColumn("component", F.coalesce("component", "rep")).filter("rep <> last or component <> rep")
     placed = lookup_join(sets.drop("sketch"), stage(label.select(*own, "component"), "gram-labels"), own, "left", spread=["k"])
