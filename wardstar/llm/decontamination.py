@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardstar.llm.tasks import tidied
 from wardstar.llm.words import plain_words
 from wardstar.session import stage
 
@@ -124,7 +125,7 @@ def build_index(
     null text has none. Rows with equal or null ids are documents of their own.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("k"), F.col(f"`{text}`").alias("t"))
-    return stage(rows.mapInArrow(_index(segment_words), INDEX_SCHEMA), "postings")
+    return stage(rows.mapInArrow(tidied(_index(segment_words)), INDEX_SCHEMA), "postings")
 
 
 def windows_of(words: list[bytes], size: int = WINDOW) -> list[tuple[bytes, ...]]:

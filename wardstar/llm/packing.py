@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardstar.llm.tasks import give_back, tidied
 from wardstar.session import fresh_path, stage
 
 MAGIC, TRAILER = b"BPK1", b"BPKE"
@@ -276,8 +277,7 @@ def _write_parts(path: str, bits: int, file_ids: int, remember: bool):
                 _ENCODERS.clear()
                 _tokenizer.cache_clear()
             gc.enable()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
@@ -389,7 +389,7 @@ def read_packed(spark: SparkSession, folder: str) -> DataFrame:
     added up, never rows per document.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
-    docs = stage(files.mapInArrow(_read_files, READ_SCHEMA), "packed-docs")
+    docs = stage(files.mapInArrow(tidied(_read_files), READ_SCHEMA), "packed-docs")
     sizes = docs.groupBy("part", "number").agg(F.sum("n_tokens").alias("n"))
     in_part = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("part").orderBy("number")) - F.col("n"))
     parts = sizes.groupBy("part").agg(F.sum("n").alias("p"))
