@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardstar.functions.scalars import any_of, blank_to, bucket, is_blank, lookup, pick
+from wardstar.operators.calls import answered
 from wardstar.session import stage
 
 # Defaults, zips and placeholder names.
@@ -106,14 +107,14 @@ def doctor_name(raw: Column) -> Column:
 
 
 def fill_names(
-    providers: DataFrame, name_fn: Callable[[pd.Series], pd.Series] | None = None
+    providers: DataFrame, name_fn: Callable[[pd.Series], pd.Series] | None = None, **calling
 ) -> DataFrame:
     """Replace placeholder provider names.
 
-    ``name_fn`` turns a batch of specialties into raw names (null on failure), for
-    instance by calling a model; by default names come from a seeded list. The
-    function runs only on the rows that need a name, once: what it gives is written
-    before anything reads it. A batch that raises gets the name for failures.
+    ``name_fn`` turns specialties into raw names (null on failure), for instance by calling a
+    model; by default names come from a seeded list. The function is called for each row that
+    needs a name, once, several calls at a time; ``calling`` are options of
+    :func:`wardstar.operators.calls.answered`. A call that fails gives the name for failures.
     """
     placeholder = is_placeholder(F.col("name"))
     if name_fn is None:
@@ -121,16 +122,9 @@ def fill_names(
         return providers.withColumn(
             "name", F.when(placeholder, doctor_name(raw)).otherwise(F.col("name"))
         )
-
-    def guarded(specialties: pd.Series) -> pd.Series:
-        try:
-            return name_fn(specialties)
-        except Exception:
-            return pd.Series([None] * len(specialties), dtype=object)
-
-    named = F.pandas_udf(guarded, T.StringType())
     marked = providers.withColumn("_fill", F.coalesce(placeholder, F.lit(True)))
-    filled = marked.filter("_fill").withColumn("name", doctor_name(named(F.col("specialty"))))
+    asked = answered(marked.filter("_fill"), "specialty", name_fn, per=["provider_key"], **calling)
+    filled = asked.withColumn("name", doctor_name(F.col("response"))).drop("response", "error")
     return marked.filter("not _fill").unionByName(stage(filled, "names")).drop("_fill")
 
 
@@ -145,8 +139,8 @@ def clean_patients(df: DataFrame) -> DataFrame:
 
 
 def clean_providers(
-    df: DataFrame, name_fn: Callable[[pd.Series], pd.Series] | None = None
+    df: DataFrame, name_fn: Callable[[pd.Series], pd.Series] | None = None, **calling
 ) -> DataFrame:
     """Names are repaired here, before duplicates are looked for."""
     tidy = standardise_provider(df).withColumn("name", without_digits(F.col("name")))
-    return fill_names(tidy, name_fn)
+    return fill_names(tidy, name_fn, **calling)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from wardstar import schemas
 from wardstar.functions.scalars import bucket, is_blank, pick, safe_double
 from wardstar.functions.text import normalise, row_context
+from wardstar.operators.calls import answered
 from wardstar.operators.keys import with_dense_key
 from wardstar.session import stage
 from wardstar.sources.tables import parse_records
@@ -28,6 +29,8 @@ PROVIDERS = ["Dr. Alice Chen"]
 SPECIALTY_WORDS = {"Cardiology": ["heart", "cardiac"], "Surgery": ["surgery", "surgical"]}
 DEFAULT_SPECIALTY = "General Practice"
 
+BATCH_TEXTS = 100  # texts of one call of a batch function
+
 PROMPT_HEAD = (
     "Extract the patient, provider, organization, payer and medical events of the transcription as JSON.\n"
     "Fill missing demographics with plausible Texas values; never invent medical events.\n"
@@ -114,37 +117,20 @@ def rule_record(clean: Column, date: Column, as_of: str) -> Column:
     )
 
 
-def _guarded(extract_fn: Callable[[pd.Series], pd.Series], batched: bool) -> Callable:
-    """``extract_fn`` with failures as texts; every text is sent exactly once.
-
-    A failure concerns the texts of one call: a single text, or with ``batched`` a whole batch.
-    """
-
-    def call(texts: pd.Series) -> pd.DataFrame:
-        try:
-            return pd.DataFrame({"response": list(extract_fn(texts)), "error": None})
-        except Exception as error:
-            return pd.DataFrame({"response": None, "error": [f"{type(error).__name__}: {error}"] * len(texts)})
-
-    def run(texts: pd.Series) -> pd.DataFrame:
-        if batched or texts.empty:
-            return call(texts)
-        return pd.concat([call(pd.Series([t])) for t in texts], ignore_index=True)
-
-    return run
-
-
 def responses(
     df: DataFrame,
     text: str,
     extract_fn: Callable[[pd.Series], pd.Series] | None = None,
     as_of: str = "2024-01-01",
     batched: bool = False,
+    **calling,
 ) -> DataFrame:
     """Add ``response``, the JSON record of each text, and ``error``, why there is none.
 
     ``extract_fn`` maps texts (or prompts) to JSON texts, for instance by calling a model: one
-    text per call, or a whole batch with ``batched``. The default applies rules inside the JVM.
+    text per call, or BATCH_TEXTS of them with ``batched``; ``calling`` are options of
+    :func:`wardstar.operators.calls.answered`, such as the log that makes a run resumable. The
+    default applies rules inside the JVM.
     """
     if extract_fn is None:
         date = F.regexp_extract(F.coalesce(F.col(text), F.lit("")), TEXT_DATE, 1)
@@ -153,9 +139,7 @@ def responses(
         )
         record = rule_record(F.col("_clean"), F.col("_date"), as_of)
         return prepared.withColumns({"response": F.to_json(record), "error": _none("string")}).drop("_clean", "_date")
-    answered = F.pandas_udf(_guarded(extract_fn, batched), "response string, error string")
-    held = df.withColumn("_answer", answered(F.col(text)))
-    return held.withColumns({"response": F.col("_answer.response"), "error": F.col("_answer.error")}).drop("_answer")
+    return answered(df, text, extract_fn, **({"texts_per_call": BATCH_TEXTS} if batched else {}), **calling)
 
 
 def _blank_to(c: Column, default: Column) -> Column:

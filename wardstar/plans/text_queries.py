@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from wardstar import schemas
 from wardstar.functions import text
 from wardstar.functions.chunks import chunk_documents as chunks_of
 from wardstar.operators import documents, extract
@@ -158,6 +159,51 @@ def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if("ok").alias("good"), F.count_if(~F.col("ok")).alias("rejected"))
 
 
+@query("WITH " + NOTE_SQL + """
+SELECT CAST(1499 + row_number() OVER (ORDER BY source_row_id) AS VARCHAR) AS record_id, source_row_id, sample_name
+FROM note WHERE NOT contains(transcription, 'woman')
+""")
+def extract_numbering(spark: SparkSession, sf: str) -> DataFrame:
+    """Records are numbered over the rows with an answer: a reject leaves no gap."""
+
+    def answer(texts):
+        if texts.str.contains("woman").any():
+            raise ValueError("not readable")
+        return texts.map(lambda t: '{"dim_payer": {"name": "Aetna"}}')
+
+    notes = extract.row_slice(_notes(spark, sf), ["o_orderkey"], 0, None)
+    good, _ = extract.split_responses(extract.responses(notes, "transcription", answer))
+    return extract.records_from(good).select("record_id", "rec.metadata.source_row_id", "rec.metadata.sample_name")
+
+
+def _sql_pattern(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+@query(f"""
+WITH clean AS (SELECT doc_id, {sql_normalise('text')} AS t, regexp_extract(text, '{extract.TEXT_DATE}', 1) AS d FROM documents)
+SELECT doc_id,
+  CASE WHEN regexp_matches(t, '{extract.FEMALE}') THEN 'F' WHEN regexp_matches(t, '{extract.MALE}') THEN 'M' END AS gender,
+  2024 - TRY_CAST(nullif(regexp_extract(t, '{extract.AGE}', 1), '') AS INTEGER) || '-01-01' AS birthdate,
+  CASE WHEN contains(t, 'heart') OR contains(t, 'cardiac') THEN 'Cardiology' WHEN contains(t, 'surgery') OR contains(t, 'surgical') THEN 'Surgery' END AS specialty,
+  CAST(len(regexp_extract_all(t, '{_sql_pattern(extract.VITAL)}')) AS BIGINT) AS observations,
+  CAST(len(regexp_extract_all(t, '{_sql_pattern(extract.MEDICATION)}')) AS BIGINT) AS medications,
+  CASE WHEN regexp_matches(t, '{_sql_pattern(extract.VITAL)}|{_sql_pattern(extract.MEDICATION)}') THEN nullif(d, '') END AS event_date
+FROM clean
+""")
+def extract_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """What the rules find in the whole text of every document."""
+    found = extract.responses(spread(table(spark, sf, "documents").select("doc_id", "text")), "text")
+    parsed = tables.parse_records(found, "response", schemas.RECORD)
+    events = F.col("rec.fact_patient_events")
+    kind = lambda name: F.size(F.filter(events, lambda e: e["event_category"] == name)).cast("bigint")
+    return parsed.select(
+        "doc_id", "rec.dim_patient.gender", "rec.dim_patient.birthdate", "rec.dim_provider.specialty",
+        kind("Observation").alias("observations"), kind("Medication").alias("medications"),
+        F.try_element_at(events, F.lit(1))["event_date"].alias("event_date"),
+    )
+
+
 @query()
 def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents cut into overlapping chunks."""
