@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from wardstar.operators import joins
+from wardstar.operators import keys
 from wardstar.operators.keys import key_map, orphans, referential_report, with_dense_key
 from wardstar.operators.ranking import first_seen_list, top_k
 
@@ -55,6 +56,28 @@ def test_dense_keys_follow_the_order(spark):
     assert [(r["key"], r["s"]) for r in keyed.orderBy("key").collect()] == list(enumerate(rows, 5))
     assert values(keyed) == values(keyed)
     assert with_dense_key(df.limit(0), "key", ["s"]).count() == 0
+    assert keys._reads_files_in_place(keyed.select("s")) and not keys._reads_files_in_place(df)
+
+
+def test_expanded_keys_follow_the_rows(spark, monkeypatch):
+    """Rows of many files, some without parts: their parts are numbered in order, without another sort."""
+    df = spark.range(3000).select("id", (F.col("id") * 7 % 4).alias("n")).repartition(5)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        placed = with_dense_key(df, "row", ["id"], 0, places=True)
+        parts = keys.with_expanded_key(
+            placed,
+            lambda d: d.select("row", "n", F.explode(F.slice(F.array(*[F.lit(i) for i in range(3)]), 1, F.col("n").cast("int"))).alias("i"), *d.columns[-2:]),
+            "key", 10,
+        )
+        assert parts.columns == ["key", "row", "n", "i"]
+        expected = [(i, j) for i in range(3000) for j in range(i * 7 % 4)]
+        assert [(r["key"], (r["row"], r["i"])) for r in parts.orderBy("key").collect()] == list(enumerate(expected, 10))
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_key_map_keeps_the_last_row(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardstar.functions.scalars import date_of, money
 from wardstar.operators.dates import date_dimension
-from wardstar.operators.keys import with_dense_key
+from wardstar.operators.keys import with_dense_key, with_expanded_key
 
 DIMENSIONS = {
     "dim_patient": "patient_key",
@@ -16,11 +16,11 @@ DIMENSIONS = {
 }
 
 
-def number_records(records: DataFrame, start: int = 1) -> DataFrame:
+def number_records(records: DataFrame, start: int = 1, places: bool = False) -> DataFrame:
     """``record_no`` in the order of the record ids (as numbers where they are numbers)."""
     sortable = records.withColumn("_id_number", F.col("record_id").try_cast("bigint"))
     return with_dense_key(
-        sortable, "record_no", ["_id_number", "record_id"], start, "records"
+        sortable, "record_no", ["_id_number", "record_id"], start, "records", places=places
     ).drop("_id_number")
 
 
@@ -32,7 +32,7 @@ def flatten(records: DataFrame, starts: dict[str, int] | None = None) -> dict[st
     events still has its dimension rows; a missing object is a row of nulls.
     """
     offsets = {key: (starts or {}).get(key, 1) - 1 for key in DIMENSIONS.values()}
-    numbered = number_records(records)
+    numbered = number_records(records, places=True)
     tables = {}
     for name, key in DIMENSIONS.items():
         fields = [f.name for f in records.schema["rec"].dataType[name].dataType.fields]
@@ -43,22 +43,20 @@ def flatten(records: DataFrame, starts: dict[str, int] | None = None) -> dict[st
                 for f in fields
             ],
         )
-    exploded = numbered.select(
-        "record_no", F.posexplode("rec.fact_patient_events").alias("event_no", "e")
-    )
-    facts = exploded.select(
-        "record_no",
-        "event_no",
-        *[(F.col("record_no") + offsets[key]).alias(key) for key in DIMENSIONS.values()],
-        date_of(F.col("e.event_date")).alias("date_key"),
-        *[F.col(f"e.{f}").alias(f) for f in ("event_category", "encounter_id", "code", "description")],
-        money(F.col("e.numeric_value")).alias("numeric_value"),
-        F.col("e.units").alias("units"),
-        money(F.col("e.cost")).alias("cost"),
-    )
+    def events(rows: DataFrame) -> DataFrame:
+        known = [c for c in rows.columns if c not in ("record_id", "rec", "record_no")]
+        exploded = rows.select("record_no", *known, F.explode("rec.fact_patient_events").alias("e"))
+        return exploded.select(
+            *known,
+            *[(F.col("record_no") + offsets[key]).alias(key) for key in DIMENSIONS.values()],
+            date_of(F.col("e.event_date")).alias("date_key"),
+            *[F.col(f"e.{f}").alias(f) for f in ("event_category", "encounter_id", "code", "description")],
+            money(F.col("e.numeric_value")).alias("numeric_value"),
+            F.col("e.units").alias("units"),
+            money(F.col("e.cost")).alias("cost"),
+        )
+
     start = (starts or {}).get("event_key", 1)
-    tables["fact_patient_events"] = with_dense_key(
-        facts, "event_key", ["record_no", "event_no"], start, "flat-facts"
-    ).drop("record_no", "event_no")
+    tables["fact_patient_events"] = with_expanded_key(numbered, events, "event_key", start, "flat-facts")
     tables["dim_date"] = date_dimension(tables["fact_patient_events"].select("date_key"))
     return tables
