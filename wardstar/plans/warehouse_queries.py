@@ -134,13 +134,14 @@ SELECT CAST(d AS VARCHAR) AS date_key, count(*) AS stored FROM (
   SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) GROUP BY 1
 """)
 def date_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    """Order dates stored first; of the ship dates only the new ones are added."""
+    """Order dates stored first; of the ship dates only the new ones are added, also when they come twice."""
     path = fresh_path(spark, "dim_date")
     ordered = dates.date_dimension(table(spark, sf, "orders").select(F.to_date("o_orderdate")))
     shipped = dates.date_dimension(table(spark, sf, "lineitem").select(F.to_date("l_shipdate")))
-    sinks.insert_if_absent(ordered, path, "date_key")
-    sinks.insert_if_absent(shipped, path, "date_key")
-    stored = spark.read.parquet(path)
+    sinks.insert_if_absent(ordered, path, "date_key", "orders")
+    for _ in range(2):
+        sinks.insert_if_absent(shipped, path, "date_key", "lines")
+    stored = sinks.read_batches(spark, path)
     return _plain(stored.groupBy("date_key").agg(F.count(F.lit(1)).alias("stored")))
 
 

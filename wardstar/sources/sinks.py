@@ -8,8 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardstar import schemas
+from wardstar.operators.joins import may_match
 
 FACT_PARTITION = "event_year"
+BATCH = "_insert_batch"
 
 
 def _fact_layout(df: DataFrame) -> DataFrame:
@@ -22,18 +24,43 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def insert_if_absent(new: DataFrame, path: str, key: str) -> None:
-    """Append only rows whose key is not stored yet."""
+def insert_if_absent(new: DataFrame, path: str, key: str, batch: str | None = None) -> None:
+    """Append only rows whose key is not stored yet; of new rows that share a key, one.
+
+    The stored keys are filtered on their scan by a table of hashed bits of the new keys, of
+    fixed size, so that only keys that can be among the new ones are shuffled. Null is a key
+    like any other.
+
+    With ``batch`` the rows go to a folder of that name, which a rerun of the batch replaces: it
+    adds nothing twice even where the first attempt broke off while it was committed. A table is
+    filled with batches from the start, or without; :func:`read_batches` reads the former.
+    """
     spark = new.sparkSession
     rows = new.dropDuplicates([key])
     try:
-        stored = spark.read.parquet(path).select(key)
+        stored = spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        stored = None
+    if stored is not None:
+        if batch is not None:
+            stored = stored.filter(F.col(BATCH) != batch)
+        known = stored.select(key)
+        fresh = rows.join(may_match(known, rows.select(key), key), key, "left_anti")
+        one = F.lit(1).alias("_null")
+        null = known.filter(F.col(key).isNull()).select(one).limit(1)
+        marked = fresh.withColumn("_null", F.when(F.col(key).isNull(), 1))
+        rows = marked.join(null, "_null", "left_anti").select(*[F.col(f"`{c}`") for c in new.columns])
+    if batch is None:
         append_table(rows, path)
-        return
-    append_table(rows.join(stored, key, "left_anti"), path)
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that was filled in batches."""
+    return spark.read.parquet(path).drop(BATCH)
 
 
 def reset_star(spark: SparkSession, folder: str) -> None:
