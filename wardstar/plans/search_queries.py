@@ -13,7 +13,7 @@ from wardstar.operators import retrieval
 from wardstar.operators.ranking import top_k
 from wardstar.operators.vectors import diversify, embed as embed_texts, nearest, squared_distance
 from wardstar.plans.registry import query
-from wardstar.plans.standins import SQL_CORPUS, clean_star, corpus, table
+from wardstar.plans.standins import SQL_CORPUS, clean_star, corpus, corpus_index, table
 from wardstar.session import spread
 
 QUESTION_SQL = """
@@ -261,16 +261,16 @@ def _all_questions(spark: SparkSession, sf: str) -> DataFrame:
     return _actor_questions(spark, sf).unionByName(general)
 
 
-def _retrieved(spark: SparkSession, sf: str, flavour: str) -> tuple[DataFrame, DataFrame]:
+def _retrieved(spark: SparkSession, sf: str, flavour: str) -> tuple[DataFrame, retrieval.Retrieved]:
     asked = retrieval.prepare_questions(_all_questions(spark, sf), flavour)
-    return asked, retrieval.retrieve(corpus(spark, sf), asked, flavour)
+    return asked, retrieval.search_documents(corpus(spark, sf), asked, flavour, corpus_index(spark, sf))
 
 
 @query()
 def hybrid(spark: SparkSession, sf: str) -> DataFrame:
     """Every document found per question, by all strategies."""
     _, found = _retrieved(spark, sf, "console")
-    return found.select("query_id", "doc_id", "is_event", F.col("strategy").cast("bigint").alias("strategy"),
+    return found.documents().select("query_id", "doc_id", "is_event", F.col("strategy").cast("bigint").alias("strategy"),
                         F.col("rank").cast("bigint").alias("rank"), "score")
 
 
@@ -283,31 +283,40 @@ def hybrid_answers(spark: SparkSession, sf: str) -> DataFrame:
                        F.to_json("documents").alias("documents"), "answer")
 
 
-@query("WITH " + SQL_CORPUS + """
+# Every actor of the cleaned star is asked about.
+SQL_ASKED = """
+, q AS (SELECT 'provider' AS actor_type, CAST(provider_key AS VARCHAR) AS actor_id FROM c_provider
+        UNION ALL SELECT 'payer', CAST(payer_key AS VARCHAR) FROM c_payer
+        UNION ALL SELECT 'patient', CAST(patient_key AS VARCHAR) FROM c_patient
+        UNION ALL SELECT 'organization', CAST(org_key AS VARCHAR) FROM c_org)
+"""
+
+
+@query("WITH " + SQL_CORPUS + SQL_ASKED + """
 SELECT query_id, count(DISTINCT md5(content)) AS num_documents, count(DISTINCT md5(content)) FILTER (WHERE type = 'event') AS num_events
-FROM (SELECT actor_type || ':' || actor_id AS query_id, type, content FROM named WHERE actor_type IN ('provider', 'payer')) GROUP BY 1
+FROM (SELECT actor_type || ':' || actor_id AS query_id, type, content FROM named JOIN q USING (actor_type, actor_id)) GROUP BY 1
 """)
 def hybrid_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Questions about an actor find each of its texts exactly once."""
-    asked = retrieval.prepare_questions(_actor_questions(spark, sf), "service")
-    found = retrieval.retrieve(corpus(spark, sf), asked, "service")
+    asked = retrieval.prepare_questions(_actor_questions(spark, sf, tuple(ACTOR_QUESTIONS)), "service")
+    found = retrieval.search_documents(corpus(spark, sf), asked, "service").documents()
     return found.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("num_documents"), F.count_if("is_event").alias("num_events"))
 
 
-@query("WITH " + SQL_CORPUS + """
+@query("WITH " + SQL_CORPUS + SQL_ASKED + """
 , texts AS (
-  SELECT actor_type || ':' || actor_id AS query_id, content, bool_or(type = 'event') AS is_event FROM named
-  WHERE actor_type IN ('provider', 'payer') GROUP BY 1, 2)
+  SELECT actor_type || ':' || actor_id AS query_id, content, bool_or(type = 'event') AS is_event
+  FROM named JOIN q USING (actor_type, actor_id) GROUP BY 1, 2)
 SELECT query_id, split_part(query_id, ':', 1) AS actor_type, split_part(query_id, ':', 2) AS actor_id,
   count(*) AS num_documents_retrieved, least(count(*) FILTER (WHERE is_event), 100) AS num_events,
   least(count(*), 100) AS in_context, least(count(*), 20) AS shown FROM texts GROUP BY 1
 """)
 def answer_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Answers about actors: events come first, 100 documents make the context, 20 are shown."""
-    asked = retrieval.prepare_questions(_actor_questions(spark, sf), "service")
+    asked = retrieval.prepare_questions(_actor_questions(spark, sf, tuple(ACTOR_QUESTIONS)), "service")
     documents = corpus(spark, sf)
-    rows = retrieval.answers(documents, asked, retrieval.retrieve(documents, asked, "service"))
+    rows = retrieval.answers(documents, asked, retrieval.search_documents(documents, asked, "service"))
     return rows.select(
         "query_id", "actor_type", "actor_id", "num_documents_retrieved", "num_events",
         F.size(F.split("context", "\n\n")).cast("bigint").alias("in_context"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardstar.plans import warehouse
 from wardstar.session import fresh_path, spread, stage
+from wardstar.operators.vector_index import VectorIndex, build_index
 from wardstar.sources import sinks
 
 EVENT_SOURCES = {
@@ -147,6 +148,17 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, sf, "corpus", build, ("documents",))["documents"]
 
 
+_indexes: dict[tuple[str, str], VectorIndex] = {}
+
+
+def corpus_index(spark: SparkSession, sf: str) -> VectorIndex:
+    """The vector index of the corpus, built once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _indexes:
+        _indexes[key] = build_index(corpus(spark, sf))
+    return _indexes[key]
+
+
 # --- the same tables as SQL, for the comparison ---------------------------------
 
 SQL_STAR = """
