@@ -44,9 +44,10 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("block", [jaccard.BLOCK, 16])
-def test_classes(spark, texts, monkeypatch, block):
+@pytest.mark.parametrize("block, parts", [(jaccard.BLOCK, jaccard.MOST_PARTS), (16, jaccard.MOST_PARTS), (16, 1)])
+def test_classes(spark, texts, monkeypatch, block, parts):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MOST_PARTS", parts)
     rows = [*texts, (703, None), (0, texts[0][1]), (None, "a b c"), (None, None)]
     by_id = dict(texts)
     # one id with texts of two families, another with a text of its own and a copy
@@ -208,6 +209,7 @@ def test_equal_rows_in_documents(spark):
 def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch, members):
     """Near copies, and texts that only share a signature's part: no member meets all parts."""
     monkeypatch.setattr(jaccard, "BLOCK", 32)
+    monkeypatch.setattr(jaccard, "MOST_PARTS", 4)
     counts = []
     kept = jaccard._candidates
 
