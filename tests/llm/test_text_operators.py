@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -224,3 +225,24 @@ def test_personal_data(spark):
     assert not by_id[32]["added"] and not by_id[33]["added"]
     nothing = pii.read_documents(table(spark, []))
     assert pii.accepted(nothing, pii.fit(nothing)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["+1 " + "( " * 500_000 + "1", "4111 1111 1111 1111 " * 20_000, "+49 (" * 50_000, "1-2 " * 100_000])
+def test_personal_data_of_long_texts_in_linear_time(text):
+    began = time.monotonic()
+    good, bad = pii.base_spans(text)
+    pii.candidates(text, good, bad)
+    assert time.monotonic() - began < 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 9)), max_size=12), st.lists(st.tuples(st.integers(0, 60), st.integers(1, 9)), max_size=12))
+def test_taken_places(spans, more):
+    known = [(a, a + n) for a, n in spans]
+    taken = pii.Taken(known)
+    for a, n in more:
+        free = all(a + n <= x or a >= y for x, y in known)
+        assert taken.free(a, a + n) == free
+        if free:
+            taken.add(a, a + n)
+            known.append((a, a + n))

@@ -16,6 +16,7 @@ sample of candidates for the classifier reach the driver.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -121,12 +122,13 @@ def _cut(text: str, span: Span) -> Iterator[Span]:
     check, most = (_good_card, 19) if kind == "card" else (_good_phone, 15)
     words = [(m.start(), m.end()) for m in re.compile(r"[^\x20]+").finditer(text, start, end)]
     for i, (a, _) in enumerate(words[: 1 if kind == "phone" else None]):
-        count = 0
-        for _, b in words[i:]:
-            count = len(_digits(text[a:b]))
-            if count > most:
+        digits = ""
+        for at in range(i, len(words)):
+            first, b = words[at]
+            digits += _digits(text[first:b])
+            if len(digits) > most:
                 break
-            if check(text[a:b]):
+            if check(digits):
                 yield kind, a, b
 
 
@@ -278,6 +280,29 @@ def fit(found: DataFrame, fit_rows: int = FIT_ROWS) -> SpanClassifier:
     return fit_classifier(rows, target)
 
 
+class Taken:
+    """Places of a text that spans cover, as sorted intervals that do not overlap."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.stops: list[int] = []
+        for start, stop in sorted(spans):
+            if self.stops and start < self.stops[-1]:
+                self.stops[-1] = max(self.stops[-1], stop)
+            else:
+                self.starts.append(start)
+                self.stops.append(stop)
+
+    def free(self, start: int, stop: int) -> bool:
+        at = bisect_right(self.stops, start)
+        return at == len(self.starts) or self.starts[at] >= stop
+
+    def add(self, start: int, stop: int) -> None:
+        at = bisect_right(self.stops, start)
+        self.starts.insert(at, start)
+        self.stops.insert(at, stop)
+
+
 SPAN = "array<struct<kind:string,start:int,stop:int,score:double>>"
 
 
@@ -289,17 +314,18 @@ def accepted(found: DataFrame, model: SpanClassifier, accept: float = ACCEPT) ->
     def added(base: pd.Series, more: pd.Series) -> pd.Series:
         known, out = sent.value, []
         for spans, others in zip(base, more, strict=True):
-            taken = [(s["start"], s["stop"]) for s in spans]
+            taken = Taken([(s["start"], s["stop"]) for s in spans])
+            known_spans = {(s["kind"], s["start"], s["stop"]) for s in spans}
             scored = []
             for m in others:
-                if not any(s["kind"] == m["kind"] and s["start"] == m["start"] and s["stop"] == m["stop"] for s in spans):
+                if (m["kind"], m["start"], m["stop"]) not in known_spans:
                     score = known.score(features(m["kind"], [int(v) for v in m["votes"]], m["shape"]))
                     if score >= accept:
                         scored.append((-score, m["start"] - m["stop"], m["start"], m))
             kept = []
             for score, _, _, m in sorted(scored, key=lambda x: x[:3]):
-                if all(m["stop"] <= a or m["start"] >= b for a, b in taken):
-                    taken.append((m["start"], m["stop"]))
+                if taken.free(m["start"], m["stop"]):
+                    taken.add(m["start"], m["stop"])
                     kept.append({"kind": m["kind"], "start": m["start"], "stop": m["stop"], "score": -score})
             out.append(kept)
         return pd.Series(out)

@@ -41,7 +41,6 @@ WITH words AS (
   SELECT DISTINCT item, size, w[i + 1 : i + size] AS g FROM starts
 ), loose AS (
   SELECT DISTINCT item, size + 4 AS span, list_distinct(w[i + 1 : i + size]) AS terms FROM starts
-  WHERE i % 10 = 0 OR i = len(w) - size
 ), placed AS (
   SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM words
 ), runs AS (
