@@ -15,11 +15,11 @@ has in the rest of the part). Sets close to the upper end of a band also sign fo
 4. The rest is verified by the exact sets. In larger groups only pairs between different
    components are: first the closest pairs that could join all members of a block, then, as
    long as there are any, pairs that could join components not yet tied.
-5. A group beyond BLOCK members is first tied together in parts, dealt anew in every round, so
-   that its rows grow with its members. If it is not one component then, its parts meet one
-   another; a group of more than MOST_PARTS parts signs a second time instead, with another
-   partition of the domain: similar members share a second signature too, and only members that
-   do are compared. So no member is repeated more often than MOST_PARTS or it has signatures.
+5. A group beyond BLOCK members is cut into parts that meet one another. One of more than
+   MOST_PARTS parts is tied together in parts dealt anew in every round instead; if it is not one
+   component then, its sets sign a second time with another partition of the domain: similar
+   members share a second signature too, and only members that do are compared. So no member is
+   repeated more often than MOST_PARTS times or it has signatures.
 
 So no list of all pairs in a group of near copies is ever made, and no link between components
 is missed: every pair that a signature brings together is ruled out, verified, or inside one
@@ -590,7 +590,7 @@ def classes(
     nodes = alike.select(F.col("rep").alias("node"), "n", "sketch")
     close, members = _grouped(signed, nodes, percent)
     members = stage(members, "gram-members")
-    counts = members.groupBy("sig").agg((F.count(F.lit(1)) > BLOCK).alias("large"))
+    counts = members.groupBy("sig").agg((F.count(F.lit(1)) > BLOCK * MOST_PARTS).alias("large"))
     sized = lookup_join(members, counts, "sig", "inner", spread=["node"])
     large = stage(sized.filter("large").select("sig", "node"), "gram-large")
     blocks = stage(_blocks(sized.filter("not large").select("sig", "node")), "gram-blocks")
@@ -628,18 +628,10 @@ def classes(
             break
     large = stage(_still_open(large, labels), "gram-large")
     if not large.isEmpty():
-        # every two parts of a group, or second signatures: whichever repeats its members less
-        counts = large.groupBy("sig").agg((F.count(F.lit(1)) > BLOCK * MOST_PARTS).alias("vast"))
-        told = stage(lookup_join(large, counts, "sig", "inner", spread=["node"]), "gram-told")
-        again, vast = told.filter("not vast").select("sig", "node"), told.filter("vast").select("sig", "node")
-        close = None
-        if not vast.isEmpty():
-            close, split = _grouped(_signed_again(vast, rows, size, percent, cells), nodes, percent)
-            again = again.unionByName(split)
+        close, again = _grouped(_signed_again(large, rows, size, percent, cells), nodes, percent)
         split = stage(_blocks(again), "gram-blocks")
         joined = stage(_candidates(split, nodes, labels, percent, True), "gram-candidates")
-        fresh = joined.select("a", "b")
-        verified(fresh if close is None else fresh.unionByName(_apart(close, labels)))
+        verified(_apart(close, labels).unionByName(joined.select("a", "b")))
         blocks, made = blocks.unionByName(split), made.unionByName(joined)
     for closest in (True, False):
         # Pairs of a block join what its chosen pairs join. So a block has to be looked at again
