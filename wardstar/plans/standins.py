@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardstar.plans import warehouse
 from wardstar.session import fresh_path, spread, stage
+from wardstar.operators.loading import SOURCE_ID
 from wardstar.operators.vector_index import VectorIndex, build_index
 from wardstar.sources import sinks
 
@@ -54,12 +55,13 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.when(balance < 0, None).when(balance < 1000, "0").when(balance < 2000, "123").when(balance < 3000, "")
         .when(balance > 9500, "78701-1234").otherwise((F.floor(balance) + 70000).cast("string")).alias("ZIP"),
     )
-    lines = (
-        spread(t("lineitem"))
-        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Orders meet their customers first: their lines, the largest table, are shuffled once at any size.
+    orders = (
+        t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         .join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
+    lines = spread(t("lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     encounters = lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("Id"),
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T23:30:00Z")).alias("START"),
@@ -128,10 +130,25 @@ def _stored(
     return _built[key]
 
 
+NUMBERED = ("dim_payer", "dim_organization", "dim_provider", "dim_patient", "fact_patient_events")
+
+
+def _dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """With their source ids."""
+    return _stored(spark, sf, "dimensions", lambda: warehouse.load_dimensions(sources(spark, sf)), NUMBERED)
+
+
+def dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The loaded dimensions of :func:`star`, for queries that read no event and no date."""
+    return {n: df.drop(SOURCE_ID) for n, df in _dimensions(spark, sf).items()}
+
+
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The loaded star, before cleaning."""
-    numbered = ("dim_payer", "dim_organization", "dim_provider", "dim_patient", "fact_patient_events")
-    return _stored(spark, sf, "star", lambda: warehouse.load_star(sources(spark, sf)), numbered)
+    def build() -> dict[str, DataFrame]:
+        return warehouse.load_star(sources(spark, sf), _dimensions(spark, sf))
+
+    return _stored(spark, sf, "star", build, NUMBERED)
 
 
 def clean_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

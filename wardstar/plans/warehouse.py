@@ -13,14 +13,24 @@ from wardstar.operators.vectors import embed
 from wardstar.sources.tables import read_source
 
 
-def load_star(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Star tables from the ten source tables (absent ones are left out)."""
-    dims = {
+def load_dimensions(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four dimensions that no event is read for, with their source ids."""
+    return {
         "dim_payer": loading.load_payers(sources["payers"]),
         "dim_organization": loading.load_organizations(sources["organizations"]),
         "dim_provider": loading.load_providers(sources["providers"]),
         "dim_patient": loading.load_patients(sources["patients"]),
     }
+
+
+def load_star(
+    sources: dict[str, DataFrame], dims: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Star tables from the ten source tables (absent ones are left out).
+
+    ``dims``: what :func:`load_dimensions` made of them, where it ran already.
+    """
+    dims = load_dimensions(sources) if dims is None else dims
     facts = loading.load_facts(sources, dims)
     star = {n: d.drop(loading.SOURCE_ID) for n, d in dims.items()}
     star["fact_patient_events"] = facts.select(*schemas.STAR["fact_patient_events"].names)

@@ -9,7 +9,7 @@ from wardstar.functions import scalars
 from wardstar.operators import clean, dates, dedup, flatten, keys, loading, quality
 from wardstar.plans import warehouse
 from wardstar.plans.registry import query
-from wardstar.plans.standins import SQL_CLEAN, SQL_STAR, clean_star, sources, sql_bucket, star, table
+from wardstar.plans.standins import SQL_CLEAN, SQL_STAR, clean_star, dimensions, sources, sql_bucket, star, table
 from wardstar.session import fresh_path
 from wardstar.sources import sinks, tables
 
@@ -54,7 +54,7 @@ UNION ALL SELECT 'organization', org_key, name, city, state FROM dim_org
 UNION ALL SELECT 'provider', provider_key, name, specialty, NULL FROM dim_provider
 """.replace("SELECT", "WITH " + SQL_STAR + " SELECT", 1))
 def dim_loads(spark: SparkSession, sf: str) -> DataFrame:
-    t = star(spark, sf)
+    t = dimensions(spark, sf)
     none = F.lit(None).cast("string")
     payer = t["dim_payer"].select(F.lit("payer").alias("dim"), F.col("payer_key").alias("key"), "name", none.alias("a"), none.alias("b"))
     org = t["dim_organization"].select(F.lit("organization").alias("dim"), F.col("org_key").alias("key"), "name", F.col("city").alias("a"), F.col("state").alias("b"))
@@ -67,12 +67,12 @@ SELECT patient_key, gender, CAST(birthdate AS VARCHAR) AS birthdate, city, state
 """)
 def dim_patient_load(spark: SparkSession, sf: str) -> DataFrame:
     """Patients loaded, then without their names."""
-    return _plain(star(spark, sf)["dim_patient"].drop("full_name"))
+    return _plain(dimensions(spark, sf)["dim_patient"].drop("full_name"))
 
 
 @query("WITH " + SQL_STAR + "SELECT patient_key, full_name FROM dim_patient")
 def patient_names(spark: SparkSession, sf: str) -> DataFrame:
-    return star(spark, sf)["dim_patient"].select("patient_key", "full_name")
+    return dimensions(spark, sf)["dim_patient"].select("patient_key", "full_name")
 
 
 @query("WITH " + SQL_STAR + f"SELECT {FACT_OUT} FROM fact")
@@ -254,7 +254,7 @@ UNION ALL SELECT 'organization', org_key, name, city, state FROM o1
 UNION ALL SELECT 'provider', provider_key, trim(name), CASE WHEN coalesce(specialty, '') = '' THEN 'General Practice' ELSE specialty END, NULL FROM dim_provider
 """)
 def standardise(spark: SparkSession, sf: str) -> DataFrame:
-    t = star(spark, sf)
+    t = dimensions(spark, sf)
     none = F.lit(None).cast("string")
     patients = clean.standardise_place(t["dim_patient"]).select(
         F.lit("patient").alias("t"), F.col("patient_key").alias("key"), none.alias("name"), "city", "state")
@@ -268,7 +268,7 @@ def standardise(spark: SparkSession, sf: str) -> DataFrame:
 @query("WITH " + SQL_CLEAN + "SELECT patient_key, gender, CAST(birthdate AS VARCHAR) AS birthdate FROM c_patient")
 def impute_gender_birthdate(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("patient_key")
-    return star(spark, sf)["dim_patient"].select(
+    return dimensions(spark, sf)["dim_patient"].select(
         key,
         clean.impute_gender(F.col("gender"), key).alias("gender"),
         clean.impute_birthdate(F.col("birthdate"), key).cast("string").alias("birthdate"),
@@ -291,7 +291,7 @@ def strip_digits(spark: SparkSession, sf: str) -> DataFrame:
 @query("WITH " + SQL_CLEAN + "SELECT patient_key, city, zip FROM c_patient")
 def zip_repair(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("patient_key")
-    placed = clean.standardise_place(star(spark, sf)["dim_patient"])
+    placed = clean.standardise_place(dimensions(spark, sf)["dim_patient"])
     return placed.select(key, "city", clean.repair_zip(F.col("zip"), F.col("city"), key).alias("zip"))
 
 
@@ -302,7 +302,7 @@ FROM d2 JOIN d1 ON d1.provider_key = d2.provider_key
 """)
 def placeholder_names(spark: SparkSession, sf: str) -> DataFrame:
     """Digits removed, placeholders found and filled from the seeded list."""
-    tidy = clean.standardise_provider(star(spark, sf)["dim_provider"]).withColumn(
+    tidy = clean.standardise_provider(dimensions(spark, sf)["dim_provider"]).withColumn(
         "name", clean.without_digits(F.col("name")))
     marked = tidy.withColumn("filled", clean.is_placeholder(F.col("name")))
     return clean.fill_names(marked).select("provider_key", "name", "specialty", "filled")
@@ -414,7 +414,7 @@ SELECT "check", n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (' || n || ')' END AS
 
 @query("WITH " + SQL_STAR + NULL_CHECKS_SQL.format(patient="dim_patient", org="dim_org", provider="dim_provider"))
 def null_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.null_checks(star(spark, sf))
+    return quality.null_checks(dimensions(spark, sf))
 
 
 @query("WITH " + SQL_CLEAN + "SELECT bool_and(n = 0) AS all_clean FROM ("
@@ -431,7 +431,7 @@ SELECT *, round(null_gender * 100.0 / total, 1) AS pct_gender, round(null_birthd
     count(*) FILTER (WHERE coalesce(city, '') = '') AS null_city FROM dim_patient)
 """)
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.null_profile(star(spark, sf)["dim_patient"])
+    return quality.null_profile(dimensions(spark, sf)["dim_patient"])
 
 
 @query("WITH " + SQL_STAR + """
@@ -440,7 +440,7 @@ UNION ALL SELECT 'provider', count(*) - count(DISTINCT (lower(trim(coalesce(name
 UNION ALL SELECT 'payer', count(*) - count(DISTINCT lower(trim(name))) FROM dim_payer
 """)
 def duplicate_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.duplicate_profile(star(spark, sf))
+    return quality.duplicate_profile(dimensions(spark, sf))
 
 
 @query("WITH " + SQL_CLEAN + f"""
