@@ -194,7 +194,11 @@ def split_responses(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def records_from(good: DataFrame, first: int = FIRST_OUTPUT) -> DataFrame:
-    """``record_id, rec`` with provenance, numbered over the successful rows only."""
-    filled = good.withColumn("rec", impute_record("rec", "source_row_id")).select("source_row_id", "rec")
-    numbered = with_dense_key(filled, "record_id", ["source_row_id"], first, "records")
-    return numbered.select(F.col("record_id").cast("string").alias("record_id"), "rec")
+    """``record_id, rec`` with provenance, numbered over the successful rows only.
+
+    Numbering looks at its input twice: records are numbered as they were read and filled in once, afterwards.
+    """
+    read = good.select("source_row_id", "sample_name", "rec")
+    numbered = with_dense_key(read, "record_id", ["source_row_id"], first, "records")
+    filled = impute_record("rec", "source_row_id").alias("rec")
+    return numbered.select(F.col("record_id").cast("string").alias("record_id"), filled)
