@@ -1,13 +1,16 @@
 """Work that must not grow faster than its input: what is read, held and written."""
 
 import os
+import random
 
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from tests.conftest import values
-from wardstar.functions import chunks
-from wardstar.operators import calls, loading
+from wardstar import schemas
+from wardstar.functions import chunks, fuzzy
+from wardstar.llm import mixing
+from wardstar.operators import calls, extract, loading
 from wardstar.plans import standins, warehouse_queries
 from wardstar.sources import sinks
 
@@ -95,3 +98,63 @@ def test_vectors_are_written_where_they_are_made(spark, tmp_path):
     assert len([f for f in files if f.endswith(".parquet")]) == 3
     back = spark.read.parquet(str(tmp_path / "v"))
     assert values(back, "doc_id", "type") == values(corpus, "doc_id", "type")
+
+
+def _plain_partial(a, b):
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    if not short:
+        return 0
+    windows = (long[i : i + len(short)] for i in range(len(long) - len(short) + 1))
+    return max(int(round(200.0 * fuzzy.common_length(short, w) / (2 * len(short)))) for w in windows)
+
+
+def test_pairs_are_scored_together(monkeypatch):
+    draw = random.Random(5)
+    word = lambda n: "".join(draw.choice("ab cdé\U0001F600") for _ in range(n))
+    sizes = [0, 1, 5, 63, 64, 65, 128, 129, 200]
+    pairs = [(word(draw.choice(sizes)), word(draw.choice(sizes))) for _ in range(80)]
+    expected = [_plain_partial(a, b) for a, b in pairs]
+    assert fuzzy.partial_ratios(pairs) == expected
+    steps = []
+    plain = fuzzy._best_windows
+    monkeypatch.setattr(fuzzy, "_best_windows", lambda group, *rest: (steps.append(len(group)), plain(group, *rest)))
+    assert fuzzy.partial_ratios(pairs) == expected and len(steps) <= 4
+    every = fuzzy.combined_scores(*zip(*pairs))
+    assert every == [fuzzy.combined(*p) for p in pairs]
+    cut = fuzzy.combined_scores(*zip(*pairs), 50)
+    assert [s for s in cut if s >= 50] == [s for s in every if s >= 50]
+
+
+def test_records_are_filled_in_after_they_are_numbered(spark, monkeypatch):
+    seen = []
+
+    def spy(df, *args, numbered=extract.with_dense_key, **named):
+        seen.append(df.columns)
+        return numbered(df, *args, **named)
+
+    monkeypatch.setattr(extract, "with_dense_key", spy)
+    rec = schemas.RECORD.simpleString()
+    data = [(5, "a", '{"dim_patient": {"city": "Waco"}}'), (9, None, "{}"), (7, "b", "{}")]
+    good = spark.createDataFrame(data, "source_row_id long, sample_name string, json string").select(
+        "source_row_id", "sample_name", F.from_json("json", rec).alias("rec"))
+    got = {r["record_id"]: r["rec"].asDict(True) for r in extract.records_from(good).collect()}
+    assert seen == [["source_row_id", "sample_name", "rec"]]
+    assert [(k, v["metadata"]["source_row_id"], v["metadata"]["sample_name"]) for k, v in sorted(got.items())] == [
+        ("1500", 5, "a"), ("1501", 7, "b"), ("1502", 9, None)]
+    assert got["1500"]["dim_patient"]["city"] == "Waco" and got["1501"]["dim_patient"]["state"] == "TX"
+
+
+def test_texts_are_joined_to_single_and_repeated_classes_apart(spark, monkeypatch):
+    labels = []
+
+    def spy(df, label, *rest, stage=mixing.stage):
+        labels.append(label)
+        return stage(df, label, *rest)
+
+    monkeypatch.setattr(mixing, "stage", spy)
+    data = [(i, "w " * (i % 5 + 1), "s%d" % (i % 2)) for i in range(40)] + [(3, "x " * 4, "s1")] * 3 + [(None, "y", None)] * 2
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    rows = mixing.mixed_documents(docs).collect()
+    assert "mix-repeated-classes" in labels
+    made = mixing.mix(docs).agg(F.sum("copies")).first()[0]
+    assert len(rows) == made and {tuple(r) for r in rows} <= set(data)

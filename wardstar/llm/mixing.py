@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.operators.joins import lookup_join
+from wardstar.operators.joins import fits_broadcast, lookup_join, may_match
 from wardstar.operators.keys import with_dense_key
 from wardstar.session import stage
 
@@ -204,9 +204,13 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         *[F.col(f"`{c}`").alias(a) for c, a in zip(docs.columns, columns, strict=True)],
     )
     found = stage(chosen.select(*_class(F.col("k"), F.col("s"), F.col("size")), "n", "copies"), "mix-classes")
-    taken = lookup_join(doc, found, CLASS, "inner", spread=columns[:1], keys_from=doc.select(*CLASS))
-    single = taken.filter("n = 1").withColumn("row", F.lit(0).cast("bigint"))
-    numbered = with_dense_key(taken.filter("n > 1"), "number", CLASS, start=0, label="mix-repeated")
+    # Rows of repeated classes are picked on the scan, so that the other texts are not shuffled for them too.
+    alone, repeated = found.filter("n = 1"), stage(found.filter("n > 1"), "mix-repeated-classes")
+    single = lookup_join(doc, alone, CLASS, "inner", spread=columns[:1], keys_from=doc.select(*CLASS))
+    single = single.withColumn("row", F.lit(0).cast("bigint"))
+    likely = doc if fits_broadcast(repeated) else stage(may_match(doc, repeated, CLASS), "mix-likely")
+    taken = lookup_join(likely, repeated, CLASS, "inner", spread=columns[:1], keys_from=likely.select(*CLASS))
+    numbered = with_dense_key(taken, "number", CLASS, start=0, label="mix-repeated")
     first = numbered.groupBy(*CLASS).agg(F.min("number").alias("first"))
     several = lookup_join(numbered, first, CLASS, "inner", spread=["number"])
     several = several.withColumn("row", F.col("number") - F.col("first")).drop("number", "first")
