@@ -246,3 +246,22 @@ def test_taken_places(spans, more):
         if free:
             taken.add(a, a + n)
             known.append((a, a + n))
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "KNOWN_PIECES", 60)
+    encoder = packing.Encoder(packing.tokenizer_path())
+    encoded = []
+    kept = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda word, blank: encoded.append(blank + word) or kept(word, blank))
+    draw = random.Random(5)
+    common = ["first", "été", "word.", "a\nb", "x"]
+    for n in range(40):
+        texts = [" ".join([*draw.sample(common, 5), *(f"u{n}i{i}" for i in range(5 * n % 90))]) for _ in range(3)]
+        flat, lengths = encoder.encode(pa.array(texts))
+        for text, end, size in zip(texts, np.cumsum(lengths), lengths, strict=True):
+            assert flat[end - size : end].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoded.count(" first") == 1 and encoded.count(" a\nb") == 1
+    assert len(encoder.place) < 200

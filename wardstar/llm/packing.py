@@ -27,7 +27,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ FILE_IDS = 1 << 20
 END_ID = 2
 VOCABULARY = 50257
 TOKENIZER = "byte_bpe_50k.json"
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 400_000
 SLICE_BYTES = 4 << 20
 
 
@@ -158,25 +158,34 @@ class Encoder:
 
     The pre-tokenizer cuts a word of Latin letters and ASCII marks after the letters, and a line
     end is a piece of its own: such pieces go straight to the library's model. Any other word
-    goes through the whole library. At most KNOWN_PIECES words are remembered; then the memory
-    starts anew.
+    goes through the whole library. At most KNOWN_PIECES words are remembered; then all are
+    forgotten but those of the texts at hand, of which the frequent words are part.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.model = self.tokenizer.model
-        self.forget()
-
-    def forget(self) -> None:
+        self.tokenize = self.tokenizer.model.tokenize
         self.place: dict[str, int] = {}
         self.ids = np.empty(0, np.uint16 if VOCABULARY <= 1 << 16 else np.uint32)
         self.used = 0
         self.bounds = np.zeros(1, np.int32)
         self.ends: dict[str, list[int]] = {}
 
-    def _piece(self, piece: str) -> list[int]:
-        letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return [token.id for token in self.model.tokenize(letters)]
+    def keep(self, keys: list[str]) -> None:
+        """Forget all words but those of ``keys``, which are distinct."""
+        known = [k for k in keys if k in self.place]
+        old = np.fromiter(map(self.place.get, known), np.int64, len(known))
+        lengths = self.bounds[old + 1] - self.bounds[old]
+        bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        self.ids = self.ids[np.arange(bounds[-1]) + np.repeat(self.bounds[old] - bounds[:-1], lengths)]
+        self.used, self.bounds = len(self.ids), bounds
+        self.place = dict(zip(known, range(len(known)), strict=True))
+
+    def _piece(self, piece: str, blank: str = "") -> list[int]:
+        """Ids of ``piece`` after ``blank``; ASCII letters and marks stand for themselves."""
+        if not piece.isascii() or piece == "\n":
+            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [token.id for token in self.tokenize("\u0120" + piece if blank else piece)]
 
     def _end(self, end: str) -> list[int]:
         ids = self.ends.get(end)
@@ -185,16 +194,18 @@ class Encoder:
         return ids
 
     def _word(self, word: str, blank: str) -> list[int]:
+        if word.isascii() and word.isalpha():
+            return self._piece(word, blank)
         parts = _PARTS(word)
         if not parts:
             return self.tokenizer.encode(blank + word, add_special_tokens=False).ids
         letters, end, more, last = parts.groups()
         if not end and not more:
-            return self._piece(blank + letters)
+            return self._piece(letters, blank)
         if not letters:
             return self.tokenizer.encode(blank + word, add_special_tokens=False).ids
         at = self.place.get(blank + letters)
-        ids = self._piece(blank + letters) if at is None else self.ids[self.bounds[at] : self.bounds[at + 1]].tolist()
+        ids = self._piece(letters, blank) if at is None else self.ids[self.bounds[at] : self.bounds[at + 1]].tolist()
         if end:
             ids = ids + self._end(end)
         if more:
@@ -206,14 +217,11 @@ class Encoder:
     def learn(self, words: list[str], blank: str) -> np.ndarray:
         """The numbers of ``words``, which are distinct and follow ``blank``, encoding new ones."""
         keys = [blank + w for w in words] if blank else words
-        numbers = list(map(self.place.get, keys))
-        fresh = [i for i, n in enumerate(numbers) if n is None]
-        if fresh and len(self.place) + len(fresh) > KNOWN_PIECES:
-            self.forget()
-            numbers, fresh = [None] * len(words), range(len(words))
-        if fresh:
-            word = self._word
-            found = [word(words[i], blank) for i in fresh]
+        numbers = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int32, len(keys))
+        fresh = np.flatnonzero(numbers < 0)
+        if len(fresh):
+            word, new = self._word, fresh.tolist()
+            found = [word(words[i], blank) for i in new]
             lengths = np.fromiter(map(len, found), np.int32, len(found))
             grown = self.used + int(lengths.sum())
             if grown > len(self.ids):
@@ -222,9 +230,9 @@ class Encoder:
             self.used = grown
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths, dtype=np.int32)])
             first = len(self.place)
-            for number, i in enumerate(fresh, first):
-                numbers[i] = self.place[keys[i]] = number
-        return np.array(numbers, np.int32)
+            numbers[fresh] = np.arange(first, first + len(fresh))
+            self.place.update(zip([keys[i] for i in new], range(first, first + len(fresh)), strict=True))
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` (nulls are empty) in order, and the number of ids of each."""
@@ -239,10 +247,11 @@ class Encoder:
         first = starts[:-1]
         uncut = [t if w else c for t, w, c in zip(texts.to_pylist(), whole.to_pylist(), _firsts(lists), strict=True)]
         heads = list(dict.fromkeys(uncut))
-        vocabulary = words.dictionary.to_pylist()
-        # both in one call, so that the memory cannot start anew between them
+        vocabulary = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # before both calls, so that no number changes between them
         if len(self.place) + len(vocabulary) + len(heads) > KNOWN_PIECES:
-            self.forget()
+            spaced = [" " + w for w in vocabulary]
+            self.keep(list(dict.fromkeys([*spaced, *heads])))
         pieces = self.learn(vocabulary, " ")[number]
         short = [h for h in heads if len(h) <= 64]
         place = dict(zip(short, self.learn(short, "").tolist(), strict=True))
