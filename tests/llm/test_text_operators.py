@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -248,6 +249,24 @@ def test_taken_places(spans, more):
             known.append((a, a + n))
 
 
+def test_windows_are_searched_where_their_words_are_near(monkeypatch):
+    words = [f"w{i}".encode() for i in range(30)]
+    docs = [words[:12], words[::-1], words[12:20] + [b"x"] * 30 + words[20:], words[15:]]
+    known = {w: n for n, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
+    numbers = [np.array([known[w] for w in d]) for d in docs]
+    rows = pd.concat([b.to_pandas() for b in decontamination._segment_rows(5, known, numbers, [1, 2, 3, None], list(map(len, docs)))])
+    searched = []
+    kept = decontamination.starts_of
+    monkeypatch.setattr(decontamination, "starts_of", lambda w, p: searched.append(w) or kept(w, p))
+    items = [("a", words[:10]), ("b", words[10:25]), ("c", [words[i] for i in range(0, 30, 3)])]
+    found = decontamination._search(items, 10, 4)((5,), rows)
+    assert found["items"].tolist() == [["a"], [], [], ["b"]]
+    assert found["near_items"].tolist() == [["a"], ["a", "b"], [], ["b"]]
+    assert found["spans"].tolist()[3] == [{"start": 0, "stop": 10}]
+    # of item c the words are all there, but nowhere near one another
+    assert len(searched) == 7
+
+
 def test_frequent_words_stay_known(monkeypatch):
     import pyarrow as pa
 

@@ -14,7 +14,9 @@ that very many documents share spreads over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -89,10 +91,15 @@ def _segment_rows(segment: int, known: dict, numbers: list, ids: list, lengths:
     )
 
 
+def _numbering() -> dict[bytes, int]:
+    """Numbers from 0 by first look-up."""
+    return defaultdict(count().__next__)
+
+
 def _index(segment_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 32
-        known: dict[bytes, int] = {}
+        known = _numbering()
         numbers: list[np.ndarray] = []
         ids: list[int | None] = []
         lengths: list[int] = []
@@ -100,16 +107,14 @@ def _index(segment_words: int):
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = plain_words(text.as_py())
-                numbers.append(
-                    np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-                )
+                numbers.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
                 ids.append(doc_id)
                 lengths.append(len(words))
                 held += len(words) + GAP
                 if held >= segment_words:
                     yield from _segment_rows(segment, known, numbers, ids, lengths)
                     segment += 1
-                    known, numbers, ids, lengths, held = {}, [], [], [], 0
+                    known, numbers, ids, lengths, held = _numbering(), [], [], [], 0
         if ids:
             yield from _segment_rows(segment, known, numbers, ids, lengths)
 
@@ -147,27 +152,25 @@ def starts_of(window: tuple[bytes, ...], postings: dict[bytes, np.ndarray]) -> n
     _, offset, rarest = lists[0]
     starts = rarest.astype(np.int64) - offset
     for n, offset, found in lists[1:]:
-        at = np.searchsorted(found, starts + offset)
+        at = found.searchsorted(starts + offset)
         starts = starts[(at < n) & (found[np.minimum(at, n - 1)] == starts + offset)]
         if not len(starts):
             break
     return starts
 
 
-def near_places(window: tuple[bytes, ...], postings: dict[bytes, np.ndarray], span: int) -> np.ndarray:
+def near_places(window: Iterable[bytes], postings: dict[bytes, np.ndarray], span: int) -> np.ndarray:
     """Places of the rarest word of ``window`` that lie, with every other word of it in any
     order, within ``span`` consecutive places."""
-    terms = list(dict.fromkeys(window))
-    if any(t not in postings for t in terms):
+    terms = set(window)
+    if not terms <= postings.keys():
         return np.empty(0, np.int64)
-    lists = sorted((postings[t] for t in terms), key=len)
+    lists = sorted(map(postings.__getitem__, terms), key=len)
     anchors = lists[0].astype(np.int64)
     for found in lists[1:]:
-        at = np.searchsorted(found, anchors)
-        before = anchors - found[np.maximum(at - 1, 0)]
-        after = found[np.minimum(at, len(found) - 1)] - anchors
-        close = ((at > 0) & (before < span)) | ((at < len(found)) & (after < span))
-        anchors = anchors[close]
+        # the first place that is not too far before, or else the last of all
+        at = found.searchsorted(anchors - span, "right")
+        anchors = anchors[np.abs(found.take(at, mode="clip") - anchors) < span]
         if not len(anchors):
             return anchors
     pieces = [anchors[i : i + FIT_ANCHORS] for i in range(0, len(anchors), FIT_ANCHORS)]
@@ -193,13 +196,12 @@ FOUND_SCHEMA = (
 
 def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
     """A function that searches one segment: its directory and the postings of the searched terms."""
-    exact: dict[tuple[bytes, ...], list[str]] = {}
-    # windows of the same words in another order are near the same places
-    loose: dict[tuple[tuple[bytes, ...], int], set[str]] = {}
+    # Windows of the same words in another order are near the same places, and each is only where they are near.
+    loose: dict[tuple[frozenset[bytes], int], dict[tuple[bytes, ...], list[str]]] = {}
     for item, words in items:
         for window in windows_of(words, size):
+            exact = loose.setdefault((frozenset(window), len(window) + slop), {})
             exact.setdefault(window, []).append(item)
-            loose.setdefault((tuple(sorted(set(window))), len(window) + slop), set()).add(item)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         directory = rows[rows["term"].isna()].iloc[0]
@@ -212,17 +214,19 @@ def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
         steps = np.zeros(int(bases[-1]) + 1, np.int32)
         found: dict[int, set[str]] = {}
         near: dict[int, set[str]] = {}
-        for window, names in exact.items():
-            starts = starts_of(window, postings)
-            if len(starts):
-                steps[starts] += 1
-                steps[starts + len(window)] -= 1
-                for doc in np.unique(np.searchsorted(bases, starts, "right") - 1).tolist():
-                    found.setdefault(doc, set()).update(names)
-        for (words, span), names in loose.items():
+        for (words, span), exact in loose.items():
             places = near_places(words, postings, span)
+            if not len(places):
+                continue
             for doc in np.unique(np.searchsorted(bases, places, "right") - 1).tolist():
-                near.setdefault(doc, set()).update(names)
+                near.setdefault(doc, set()).update(*exact.values())
+            for window, names in exact.items():
+                starts = starts_of(window, postings)
+                if len(starts):
+                    steps[starts] += 1
+                    steps[starts + len(window)] -= 1
+                    for doc in np.unique(np.searchsorted(bases, starts, "right") - 1).tolist():
+                        found.setdefault(doc, set()).update(names)
         edges = np.diff(np.concatenate([[0], np.cumsum(steps) > 0, [0]]).astype(np.int8))
         first, last = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0)
         spans: dict[int, list[dict[str, int]]] = {}
