@@ -226,3 +226,22 @@ def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch, members
     assert {found[i] for i in range(members)} == {0}
     assert all(found[10_000 + i] == 10_000 + i for i in range(members))
     assert max(counts) < 400 * members
+
+
+def test_members_of_a_tied_group_are_taken_once(spark, monkeypatch):
+    """Near copies in ten parts: dealt parts tie them, so that no part has to meet another."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    repeated = []
+    kept = jaccard._candidates
+
+    def counted(blocks, *others):
+        repeated.append(blocks.count() - blocks.select("sig", "node").distinct().count())
+        return kept(blocks, *others)
+
+    monkeypatch.setattr(jaccard, "_candidates", counted)
+    draw = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(i, edited(base, 1, draw)) for i in range(320)]
+    found = {r["component"] for r in jaccard.classes(table(spark, rows)).collect()}
+    assert found == {0}
+    assert repeated and not any(repeated)

@@ -15,11 +15,12 @@ has in the rest of the part). Sets close to the upper end of a band also sign fo
 4. The rest is verified by the exact sets. In larger groups only pairs between different
    components are: first the closest pairs that could join all members of a block, then, as
    long as there are any, pairs that could join components not yet tied.
-5. A group beyond BLOCK members is cut into parts that meet one another. One of more than
-   MOST_PARTS parts is tied together in parts dealt anew in every round instead; if it is not one
-   component then, its sets sign a second time with another partition of the domain: similar
-   members share a second signature too, and only members that do are compared. So no member is
-   repeated more often than MOST_PARTS times or it has signatures.
+5. A group beyond BLOCK members is tied together in parts dealt anew in every round, so that its
+   members are taken once a round. If it is not one component then, it is cut into parts that
+   meet one another; with more than MOST_PARTS parts, its sets sign a second time with another
+   partition of the domain instead: similar members share a second signature too, and only
+   members that do are compared. So no member is repeated more often than MOST_PARTS times or it
+   has signatures.
 
 So no list of all pairs in a group of near copies is ever made, and no link between components
 is missed: every pair that a signature brings together is ruled out, verified, or inside one
@@ -262,14 +263,14 @@ def _gram_bytes(size: int):
     return run
 
 
-GROUP_SCHEMA = "a bigint, b bigint, sig bigint, members bigint"
+GROUP_SCHEMA = "a bigint, b bigint, sig bigint, members bigint"  # members: null beyond BLOCK
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by signature: pairs (a, b) of small groups, members (a, sig) of larger ones.
 
     ``members`` is a hash of the nodes of the group, so that groups of the same nodes are known.
-    A group beyond BLOCK members is passed on as it comes and never held.
+    A group beyond BLOCK members is passed on as it comes and never held; it has no such hash.
     """
     sig, node = np.empty(0, np.int64), np.empty(0, np.int64)
     passed: int | None = None
@@ -279,7 +280,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if passed is not None:
             same = int(np.searchsorted(sig, passed, "right"))
             if same:
-                yield _members(node[:same], np.full(same, passed), np.full(same, passed))
+                yield _members(node[:same], np.full(same, passed))
                 sig, node = sig[same:], node[same:]
             if len(sig):
                 passed = None
@@ -290,15 +291,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, node = sig[last:], node[last:]
         if len(sig) > BLOCK:
             passed = int(sig[0])
-            yield _members(node, sig, sig)
+            yield _members(node, sig)
             sig, node = sig[:0], node[:0]
     if passed is None:
         yield from _complete(sig, node)
 
 
-def _members(node: np.ndarray, sig: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
+def _members(node: np.ndarray, sig: np.ndarray, members: np.ndarray | None = None) -> pa.RecordBatch:
     none = pa.nulls(len(node), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(node), none, pa.array(sig), pa.array(members)], ["a", "b", "sig", "members"])
+    names = none if members is None else pa.array(members)
+    return pa.RecordBatch.from_arrays([pa.array(node), none, pa.array(sig), names], ["a", "b", "sig", "members"])
 
 
 def _complete(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -478,15 +480,25 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
 KEYS = ["sig", "low", "high"]
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members (sig, node) with the blocks they are compared in: every two of a group meet once.
+def _whole(members: DataFrame) -> DataFrame:
+    """Members (sig, node) of groups of up to BLOCK: a group is a block."""
+    zero = F.lit(0)
+    return members.select("sig", zero.alias("low"), zero.alias("high"), F.lit(-1).alias("side"), "node")
 
-    A group of more than BLOCK members is cut into parts, and every two parts are a block.
-    """
+
+def _cut(members: DataFrame, seed: int | None = None) -> DataFrame:
+    """Members (sig, node) of groups beyond BLOCK with their part, and the number of parts."""
     counts = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    cut = lookup_join(members, counts, "sig", "inner").withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    )
+    cut = lookup_join(members, counts, "sig", "inner", spread=["node"])
+    dealt = F.xxhash64("node") if seed is None else F.xxhash64("node", F.lit(seed))
+    return cut.withColumn("part", F.pmod(dealt, F.col("parts")).cast("int"))
+
+
+def _blocks(cut: DataFrame) -> DataFrame:
+    """Cut members with the blocks they are compared in: every two of a group meet once.
+
+    Every two parts of a group are a block.
+    """
     met = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda p: F.struct(F.least("part", p).alias("low"), F.greatest("part", p).alias("high")),
@@ -497,11 +509,9 @@ def _blocks(members: DataFrame) -> DataFrame:
 
 
 def _parts(members: DataFrame, seed: int) -> DataFrame:
-    """Members with one block each: a whole group of up to BLOCK, a part of a larger one."""
-    counts = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    dealt = lookup_join(members, counts, "sig", "inner", spread=["node"])
-    part = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts")).cast("int")
-    return dealt.select("sig", part.alias("low"), part.alias("high"), F.lit(-1).alias("side"), "node")
+    """Members of groups beyond BLOCK with one block each, a part of their group."""
+    part = F.col("part")
+    return _cut(members, seed).select("sig", part.alias("low"), part.alias("high"), F.lit(-1).alias("side"), "node")
 
 
 def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -528,7 +538,8 @@ def _candidates(blocks: DataFrame, nodes: DataFrame, labels: DataFrame | None, p
     else:
         held = lookup_join(blocks, labels.select("node", "component"), "node", "left")
         held = held.withColumn("label", F.coalesce("component", "node")).drop("component")
-    ordered = lookup_join(held, nodes, "node", "inner").repartition(*KEYS).sortWithinPartitions(*KEYS)
+    described = lookup_join(held, nodes, "node", "inner", keys_from=blocks.select("node"))
+    ordered = described.repartition(*KEYS).sortWithinPartitions(*KEYS)
     return ordered.mapInArrow(tidied(_joining(percent, closest)), JOIN_SCHEMA)
 
 
@@ -541,8 +552,9 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(ends[0] != ends[1]).select("a", "b")
 
 
-def _grouped(signed: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of signed sets (sig, node): possible pairs of small groups, members (sig, node) of larger ones."""
+def _grouped(signed: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of signed sets (sig, node): possible pairs of small groups, members (sig, node) of larger
+    ones, and of those beyond BLOCK."""
     ordered = signed.repartition("sig").sortWithinPartitions("sig")
     groups = stage(ordered.mapInArrow(tidied(_groups), GROUP_SCHEMA), "gram-groups")
     pairs = groups.filter("sig is null").select("a", "b").distinct()
@@ -550,8 +562,10 @@ def _grouped(signed: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFra
         pairs = pairs.join(nodes.select(*[F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in nodes.columns]), side)
     close = pairs.filter(_possible(percent)("n_a", "sketch_a", "n_b", "sketch_b")).select("a", "b")
     larger = groups.filter("sig is not null").select(F.col("a").alias("node"), "sig", "members")
-    chosen = larger.groupBy("members").agg(F.min("sig").alias("sig"))
-    return close, larger.join(chosen, ["members", "sig"], "left_semi").select("sig", "node")
+    named = larger.filter("members is not null")
+    chosen = named.groupBy("members").agg(F.min("sig").alias("sig"))
+    middle = named.join(chosen, ["members", "sig"], "left_semi").select("sig", "node")
+    return close, middle, larger.filter("members is null").select("sig", "node")
 
 
 def classes(
@@ -588,12 +602,9 @@ def classes(
     texts = rows.filter("k is not null").join(others, "k", "left_anti")
     signed = texts.mapInArrow(tidied(_sign(size, percent, cells)), "sig bigint, node bigint")
     nodes = alike.select(F.col("rep").alias("node"), "n", "sketch")
-    close, members = _grouped(signed, nodes, percent)
-    members = stage(members, "gram-members")
-    counts = members.groupBy("sig").agg((F.count(F.lit(1)) > BLOCK * MOST_PARTS).alias("large"))
-    sized = lookup_join(members, counts, "sig", "inner", spread=["node"])
-    large = stage(sized.filter("large").select("sig", "node"), "gram-large")
-    blocks = stage(_blocks(sized.filter("not large").select("sig", "node")), "gram-blocks")
+    close, middle, large = _grouped(signed, nodes, percent)
+    large = stage(large, "gram-large")
+    blocks = stage(_whole(middle), "gram-blocks")
 
     made = stage(_candidates(blocks, nodes, None, percent, True), "gram-candidates")
     first = _candidates(_parts(large, 0), nodes, None, percent, True).select("a", "b")
@@ -628,8 +639,11 @@ def classes(
             break
     large = stage(_still_open(large, labels), "gram-large")
     if not large.isEmpty():
-        close, again = _grouped(_signed_again(large, rows, size, percent, cells), nodes, percent)
-        split = stage(_blocks(again), "gram-blocks")
+        cut = stage(_cut(large), "gram-cut")
+        met, large = cut.filter(F.col("parts") <= MOST_PARTS), cut.filter(F.col("parts") > MOST_PARTS)
+        close, middle, again = _grouped(_signed_again(large.select("sig", "node"), rows, size, percent, cells), nodes, percent)
+        split = _blocks(met).unionByName(_whole(middle)).unionByName(_blocks(_cut(stage(again, "gram-large"))))
+        split = stage(split, "gram-blocks")
         joined = stage(_candidates(split, nodes, labels, percent, True), "gram-candidates")
         verified(_apart(close, labels).unionByName(joined.select("a", "b")))
         blocks, made = blocks.unionByName(split), made.unionByName(joined)
