@@ -16,37 +16,40 @@ from wardstar.session import stage
 BATCH_ROWS = "2000"
 
 
-def _small_batches(spark: SparkSession) -> None:
+def _settings(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    # Every stage writes what it makes: what it shuffled goes with the end of each query, not whenever the
+    # driver collects its garbage, so that the shuffles of several stages do not lie on the disks at once.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
-    _small_batches(spark)
+    _settings(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies."""
-    _small_batches(spark)
+    _settings(spark)
     return jaccard.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    _small_batches(spark)
+    _settings(spark)
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask for."""
-    _small_batches(spark)
+    _settings(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token files, as read back: one row per document and copy."""
-    _small_batches(spark)
+    _settings(spark)
     return packing.packed(docs, remember=False)
 
 

@@ -70,3 +70,33 @@ def test_registered():
 def test_sql(spark, name):
     good, note = compare.compare(spark, compare.duck(FOLDER), FOLDER, name, queries.QUERIES[name], queries.SQL[name])
     assert good, note
+
+
+def test_stages_leave_little_behind(spark):
+    """Tables that a stage made on its way are deleted before its result is written."""
+    from wardstar.session import run_dir
+
+    folder = run_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    single = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    clean = corpus_pipeline.benchmark(spark, docs, FOLDER)
+    assert sorted(name.split("-")[0] for name in set(os.listdir(folder)) - before) == ["contaminated", "gram"]
+    assert single.columns == clean.columns == docs.columns and 0 < single.count() <= docs.count() >= clean.count() > 0
+
+
+def test_shuffles_go_with_their_query(spark):
+    from wardstar.session import _scratch, scratch, stage
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    corpus_pipeline.mix(spark, docs, FOLDER)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    with pytest.raises(ZeroDivisionError), scratch(spark) as keep:
+        gone, kept = stage(spark.range(3), "gone"), keep(spark.range(4), "kept")
+        with scratch(spark) as inner:
+            also_gone = inner(spark.range(5), "inner")
+        assert also_gone.count() == 5
+        raise ZeroDivisionError
+    assert kept.count() == 4 and _scratch.get() == ()
+    with pytest.raises(Exception, match="exist"):
+        gone.count()

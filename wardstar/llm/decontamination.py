@@ -25,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.tasks import tidied
+from wardstar.llm.tasks import release, tidied
 from wardstar.llm.words import plain_words
-from wardstar.session import stage
+from wardstar.session import scratch, stage
 
 WINDOW = 10
 SLOP = 4
@@ -204,6 +204,7 @@ def _search(items: list[tuple[str, list[bytes]]], size: int, slop: int):
             exact.setdefault(window, []).append(item)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        release()
         directory = rows[rows["term"].isna()].iloc[0]
         bases = np.frombuffer(directory["postings"], "<i4").astype(np.int64)
         n_docs = len(bases) - 1
@@ -338,6 +339,7 @@ def clean_documents(
     while key in docs.columns:
         key += "_"
     told = docs.withColumn(key, F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    found = search(build_index(told, key, text), benchmark, item_id, "text")
-    hit = stage(found.filter(F.size("items") > 0).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    with scratch(docs.sparkSession) as keep:
+        found = search(build_index(told, key, text), benchmark, item_id, "text")
+        hit = keep(found.filter(F.size("items") > 0).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
     return told.join(hit, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

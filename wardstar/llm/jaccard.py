@@ -41,10 +41,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardstar.llm.components import components
-from wardstar.llm.tasks import tidied
+from wardstar.llm.tasks import release, tidied
 from wardstar.llm.words import BLANKS, raw
 from wardstar.operators.joins import lookup_join
-from wardstar.session import stage
+from wardstar.session import scratch, stage
 
 SHINGLE = 4
 PERCENT = 85
@@ -345,6 +345,7 @@ def _stacked(sketches: list[bytes]) -> np.ndarray:
 def _possible(percent: int):
     @F.pandas_udf("boolean")
     def possible(n1: pd.Series, s1: pd.Series, n2: pd.Series, s2: pd.Series) -> pd.Series:
+        release()
         a, b = n1.to_numpy(), n2.to_numpy()
         good = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
         lengths = np.minimum(s1.map(len).to_numpy(), s2.map(len).to_numpy())
@@ -449,6 +450,7 @@ def _forest(pairs: np.ndarray, label: np.ndarray) -> np.ndarray:
 @F.pandas_udf(T.BooleanType())
 def _links(ones: pd.Series, others: pd.Series, percent: pd.Series) -> pd.Series:
     """Whether a set of one side links with a set of the other."""
+    release()
     out = []
     for xs, ys, p in zip(ones, others, percent, strict=True):
         sets = [[np.frombuffer(g, np.uint64) for g in side] for side in (xs, ys)]
@@ -671,6 +673,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     key = "_dropped_id"
     while key in docs.columns:
         key += "_"
-    found = classes(docs, doc_id, text)
-    dropped = stage(found.filter("k <> component").select(F.col("k").alias(key)).distinct(), "gram-dropped")
+    with scratch(docs.sparkSession) as keep:
+        found = classes(docs, doc_id, text)
+        dropped = keep(found.filter("k <> component").select(F.col("k").alias(key)).distinct(), "gram-dropped")
     return docs.join(dropped, F.col(f"`{doc_id}`").cast("bigint") == F.col(key), "left_anti")

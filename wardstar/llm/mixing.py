@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardstar.llm.tasks import release
 from wardstar.operators.joins import fits_broadcast, lookup_join, may_match
 from wardstar.operators.keys import with_dense_key
 from wardstar.session import stage
@@ -63,6 +64,7 @@ def _settled(mass: float) -> int:
 
 
 def _resolve(group: pd.DataFrame) -> pd.DataFrame:
+    release()
     group = group.sort_values(["size", "draw"], ascending=[False, True], kind="stable")
     outcome, left = pivot(group["mass"].tolist(), group["size"].tolist(), group["draw"].tolist())
     group["outcome"] = outcome

@@ -277,6 +277,7 @@ def _write_parts(path: str, bits: int, file_ids: int, remember: bool):
     """Turns the sorted documents of one partition into files of about ``file_ids`` ids each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what earlier tasks of this worker left
         # Millions of short-lived lists: counted references are enough for them.
         gc.disable()
         try:
