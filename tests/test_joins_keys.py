@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from wardstar import session
 from wardstar.operators import joins
 from wardstar.operators import keys
 from wardstar.operators.keys import key_map, orphans, referential_report, with_dense_key
@@ -137,3 +138,15 @@ def test_may_match(spark, monkeypatch):
     assert exact <= {r["k"] for r in joins.may_match(facts, keys, ["k"]).collect()}
     assert joins.may_match(facts, keys.limit(0), "k").count() == 0
     assert joins.may_match(facts.limit(0), keys, "k").count() == 0
+
+
+def test_files_that_are_small_only_on_disk_are_not_broadcast(spark):
+    ids = session.stage(spark.range(400_000).select(F.xxhash64("id").alias("k"), "id"), "many-ids")
+    assert joins.BROADCAST_FILE_BYTES < session.plan_bytes(ids) < joins.broadcast_limit(ids)
+    assert not joins.fits_broadcast(ids)
+    facts = spark.range(1000).select(F.xxhash64(F.col("id") * 3).alias("k"), F.col("id").alias("n"))
+    for joined in (joins.lookup_join(facts, ids, "k", "inner"), facts.join(joins.bounded(ids), "k")):
+        assert "rightHint=(strategy=merge)" in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert joined.filter("id = 3 * n").count() == 1000
+    few = session.stage(spark.range(1000).withColumnRenamed("id", "k"), "few-ids")
+    assert joins.fits_broadcast(few) and "strategy" not in joins.bounded(few)._jdf.queryExecution().logical().toString()
